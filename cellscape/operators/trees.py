@@ -1,0 +1,173 @@
+"""Extremely randomised trees (Geurts, Ernst and Wehenkel, 2006), grown level by level.
+
+Each level makes two passes over the rows: ranges of the drawn features per open node, then class
+counts at the drawn cuts.  Tasks add up their rows in arrays of (open nodes x drawn features) and
+emit one small row per entry; Spark adds these up.  Only node statistics and the trees reach the
+driver, and trees grow in batches so that both stay bounded.
+"""
+
+import math
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cellscape.session import materialize
+
+MAX_OPEN_NODES = 200_000  # open nodes of one batch of trees
+_STATS = "slot long, low double, high double, n double, ones double"
+
+
+@dataclass
+class Forest:
+    """Nodes of all trees in flat lists; ``feature`` -1 marks a leaf."""
+
+    feature: list[int] = field(default_factory=list)
+    cut: list[float] = field(default_factory=list)
+    left: list[int] = field(default_factory=list)
+    right: list[int] = field(default_factory=list)
+    share: list[float] = field(default_factory=list)
+    roots: list[int] = field(default_factory=list)
+    gain: np.ndarray | None = None
+
+    def add(self, share: float) -> int:
+        for values, v in ((self.feature, -1), (self.cut, 0.0), (self.left, -1), (self.right, -1), (self.share, share)):
+            values.append(v)
+        return len(self.feature) - 1
+
+    def arrays(self):
+        return tuple(np.asarray(v) for v in (self.feature, self.cut, self.left, self.right, self.share))
+
+    def score(self, df: DataFrame) -> DataFrame:
+        model = df.sparkSession.sparkContext.broadcast((self.arrays(), list(self.roots)))
+
+        def probability(x: pd.Series) -> pd.Series:
+            arrays, roots = model.value
+            matrix = np.stack(x.to_numpy()) if len(x) else np.zeros((0, 1))
+            total = np.zeros(len(x))
+            for root in roots:
+                total += arrays[4][_descend(matrix, arrays, root)]
+            return pd.Series(total / len(roots))
+
+        return df.withColumn("score", F.pandas_udf(probability, "double")(vector_to_array("features")))
+
+    def importances(self, columns: list[str]):
+        total = self.gain.sum() or 1.0
+        return list(zip(columns, (self.gain / total).tolist()))
+
+
+def _descend(x: np.ndarray, arrays, root: int) -> np.ndarray:
+    """Node each row ends in."""
+    feature, cut, left, right, _ = arrays
+    at = np.full(len(x), root)
+    while True:
+        f = feature[at]
+        moving = f >= 0
+        if not moving.any():
+            return at
+        rows = np.nonzero(moving)[0]
+        node = at[rows]
+        goes_left = x[rows, feature[node]] <= cut[node]
+        at[rows] = np.where(goes_left, left[node], right[node])
+
+
+def _pass(rows: DataFrame, forest: Forest, trees: list[int], slot_of: np.ndarray, drawn: np.ndarray, cuts: np.ndarray | None):
+    """Sums per (open node, drawn feature): ranges, or counts left of ``cuts``."""
+    shared = rows.sparkSession.sparkContext.broadcast((forest.arrays(), trees, slot_of, drawn, cuts))
+
+    def work(batches):
+        arrays, roots, slot_of, drawn, cuts = shared.value
+        size = drawn.size
+        low, high = np.full(size, np.inf), np.full(size, -np.inf)
+        n, ones = np.zeros(size), np.zeros(size)
+        m = drawn.shape[1]
+        for batch in batches:
+            x = np.stack(batch.column(0).to_numpy(zero_copy_only=False))
+            y = batch.column(1).to_numpy(zero_copy_only=False)
+            for root in roots:
+                slot = slot_of[_descend(x, arrays, root)]
+                is_open = slot >= 0
+                if not is_open.any():
+                    continue
+                s, label = slot[is_open], y[is_open]
+                values = np.take_along_axis(x[is_open], drawn[s], axis=1)
+                flat = (s[:, None] * m + np.arange(m)).ravel()
+                values, labels = values.ravel(), np.repeat(label, m)
+                if cuts is None:
+                    np.minimum.at(low, flat, values)
+                    np.maximum.at(high, flat, values)
+                else:
+                    keep = values <= cuts.ravel()[flat]
+                    flat, labels = flat[keep], labels[keep]
+                n += np.bincount(flat, minlength=size)
+                ones += np.bincount(flat, weights=labels, minlength=size)
+        seen = np.nonzero(n > 0)[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen), pa.array(low[seen]), pa.array(high[seen]), pa.array(n[seen]), pa.array(ones[seen])],
+            names=["slot", "low", "high", "n", "ones"])
+
+    table = rows.mapInArrow(work, _STATS).groupBy("slot").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.sum("ones").alias("ones"),
+    ).toPandas()
+    shared.unpersist()
+    out = {c: np.zeros(drawn.size) for c in ("low", "high", "n", "ones")}
+    for c in out:
+        out[c][table["slot"].to_numpy()] = table[c].to_numpy()
+        out[c] = out[c].reshape(drawn.shape)
+    return out
+
+
+def _gini(ones: np.ndarray, n: np.ndarray) -> np.ndarray:
+    p = np.divide(ones, n, out=np.zeros_like(ones), where=n > 0)
+    return 2 * p * (1 - p)
+
+
+def fit_extra_trees(
+    train: DataFrame, n_trees: int, max_depth: int, min_split: int, seed: int, max_features: str = "sqrt"
+) -> Forest:
+    """Grow ``n_trees`` on the whole sample of ``(features, label)``."""
+    rows = materialize(train.select(vector_to_array("features").alias("x"), F.col("label").cast("double")), "trees")
+    head = rows.agg(F.count("*"), F.sum("label"), F.max(F.size("x"))).first()
+    total, ones, width = float(head[0]), float(head[1]), int(head[2])
+    m = {"all": width, "sqrt": max(1, int(math.sqrt(width))), "log2": max(1, int(math.log2(width)))}[max_features]
+    rng = np.random.default_rng(seed)
+    forest = Forest(gain=np.zeros(width))
+    batch = max(1, MAX_OPEN_NODES // int(min(2 ** min(max_depth, 30), max(1.0, total / min_split))))
+    for start in range(0, n_trees, batch):
+        trees = [forest.add(ones / total) for _ in range(min(batch, n_trees - start))]
+        forest.roots += trees
+        pure = ones in (0.0, total)
+        open_nodes = [] if pure else list(trees)
+        for _ in range(max_depth):
+            if not open_nodes:
+                break
+            slot_of = np.full(len(forest.feature), -1)
+            slot_of[open_nodes] = np.arange(len(open_nodes))
+            drawn = np.argsort(rng.random((len(open_nodes), width)), axis=1)[:, :m]
+            ranges = _pass(rows, forest, trees, slot_of, drawn, None)
+            cuts = ranges["low"] + rng.random(drawn.shape) * (ranges["high"] - ranges["low"])
+            left = _pass(rows, forest, trees, slot_of, drawn, cuts)
+            n, one = ranges["n"], ranges["ones"]
+            rn, ro = n - left["n"], one - left["ones"]
+            after = (left["n"] * _gini(left["ones"], left["n"]) + rn * _gini(ro, rn)) / np.maximum(n, 1)
+            after[(ranges["high"] <= ranges["low"]) | (left["n"] == 0) | (rn == 0)] = np.inf
+            best = after.argmin(axis=1)
+            following = []
+            for i, node in enumerate(open_nodes):
+                j = best[i]
+                if not np.isfinite(after[i, j]):
+                    continue
+                f = int(drawn[i, j])
+                forest.gain[f] += n[i, j] / total * (_gini(one[i, j : j + 1], n[i, j : j + 1])[0] - after[i, j])
+                sides = ((left["n"][i, j], left["ones"][i, j]), (rn[i, j], ro[i, j]))
+                children = [forest.add(k / c) for c, k in sides]
+                forest.feature[node], forest.cut[node] = f, float(cuts[i, j])
+                forest.left[node], forest.right[node] = children
+                following += [
+                    child for child, (c, k) in zip(children, sides) if c >= min_split and 0 < k < c]
+            open_nodes = following
+    return forest
