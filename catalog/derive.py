@@ -117,4 +117,5 @@ def layer(spark, sf: str, name: str):
 
 def number(value: float) -> str:
     """A literal that is a double in both engines."""
-    return f"{value!r}e0"
+    text = repr(float(value))
+    return text if "e" in text else f"{text}e0"

@@ -114,9 +114,10 @@ def chosen(spark, sf):
 
 
 def way_nodes(spark, sf):
-    return rank_within(
+    """Way positions; a real extract has them in its node lists."""
+    return materialize_once(spark, f"{sf}/way-nodes", lambda: rank_within(
         layer(spark, sf, "way_rows"), ["osmid"], F.floor(F.col("l_orderkey") / 4096),
-        [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")], "pos").select("osmid", "city", "pos", "node")
+        [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")], "pos").select("osmid", "city", "pos", "node"))
 
 
 def road_segments(spark, sf):
@@ -965,13 +966,13 @@ def _(spark, sf):
 
 # box with box: product of overlaps; diamond with box: 2 r^2 less the parts beyond each side (the box
 # is wider than any diamond, so at most one side per axis cuts and a corner part is added back)
-_OVER = "greatest(0, least(half, {}) + half)"
+x.EXPECTED["water_sides"] = """
+    SELECT *, least(dw, de) AS u, least(ds, dn) AS v FROM (
+      SELECT w.city, w.fid, w.shape, w.half AS r, w.wx - b.xmin AS dw, b.xmax - w.wx AS de, w.wy - b.ymin AS ds, b.ymax - w.wy AS dn
+      FROM {water} w JOIN {boxes} b ON b.city = w.city) c"""
 
 
 @query("water_clip", """
-    WITH c AS (SELECT w.city, w.fid, w.shape, w.half AS r, w.wx - b.xmin AS dw, b.xmax - w.wx AS de, w.wy - b.ymin AS ds, b.ymax - w.wy AS dn
-               FROM {water} w JOIN {boxes} b ON b.city = w.city),
-    d AS (SELECT *, least(dw, de) AS u, least(ds, dn) AS v FROM c)
     SELECT city, fid, round(area, 4) AS area FROM (
       SELECT city, fid, CASE WHEN shape = 'box'
         THEN greatest(0, least(r, dw) + least(r, de)) * greatest(0, least(r, ds) + least(r, dn))
@@ -987,7 +988,7 @@ _OVER = "greatest(0, least(half, {}) + half)"
                   ELSE 2 * r * r
                     - (CASE WHEN -u >= r THEN 0 ELSE (r + u) * (r + u) END) - (CASE WHEN -v >= r THEN 0 ELSE (r + v) * (r + v) END)
                     + (CASE WHEN -u - v >= r OR u <= -r OR v <= -r THEN 0 ELSE (r + u + v) * (r + u + v) / 2 END) END)
-        END AS area FROM d) e WHERE area > 1e-9""")
+        END AS area FROM {water_sides}) e WHERE area > 1e-9""")
 def _(spark, sf):
     w = water_rings(spark, sf).join(layer(spark, sf, "boxes"), "city")
     return rounded(osm.water_in_box(w).select("city", "fid", F.abs(g.ring_signed_area(F.col("ring"))).alias("area")), 4)

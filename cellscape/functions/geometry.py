@@ -200,40 +200,30 @@ def wkt_points(text: Column) -> Column:
 
 
 def clip_ring_to_box(ring: Column, xmin, ymin, xmax, ymax) -> Column:
-    """Intersection of a ring with a box by four half-plane clips (exact for convex rings)."""
+    """Intersection of a ring with a box by four half-plane clips (exact for convex rings).
 
-    def clip(r: Column, inside, crossing) -> Column:
+    Each half-plane is ``nx * x + ny * y <= limit``; the ring is folded over the four.
+    """
+    def half_plane(nx, ny, limit):
+        return F.struct(F.lit(float(nx)).alias("nx"), F.lit(float(ny)).alias("ny"), limit.cast("double").alias("limit"))
+
+    def clip(r: Column, side: Column) -> Column:
         def step(e):
-            a = F.struct(e["x1"].alias("x"), e["y1"].alias("y"))
-            cut = crossing(e)
-            a_in, b_in = inside(e["x1"], e["y1"]), inside(e["x2"], e["y2"])
-            empty = F.slice(F.array(a), 1, 0)
+            da = side["nx"] * e["x1"] + side["ny"] * e["y1"] - side["limit"]
+            db = side["nx"] * e["x2"] + side["ny"] * e["y2"] - side["limit"]
+            t = F.coalesce(F.try_divide(da, da - db), F.lit(0.0))
+            start = point(e["x1"], e["y1"])
+            cut = point(e["x1"] + t * (e["x2"] - e["x1"]), e["y1"] + t * (e["y2"] - e["y1"]))
             return (
-                F.when(a_in & b_in, F.array(a))
-                .when(a_in, F.array(a, cut))
-                .when(b_in, F.array(cut))
-                .otherwise(empty)
+                F.when((da <= 0) & (db <= 0), F.array(start))
+                .when(da <= 0, F.array(start, cut))
+                .when(db <= 0, F.array(cut))
+                .otherwise(F.slice(F.array(start), 1, 0))
             )
 
-        return F.when(F.size(r) >= 3, F.flatten(F.transform(ring_edges(r), step))).otherwise(
-            F.slice(r, 1, 0)
-        )
-
-    def at_x(limit):
-        def cut(e):
-            t = F.coalesce(F.try_divide(limit - e["x1"], e["x2"] - e["x1"]), F.lit(0.0))
-            return point(limit, e["y1"] + t * (e["y2"] - e["y1"]))
-
-        return cut
-
-    def at_y(limit):
-        def cut(e):
-            t = F.coalesce(F.try_divide(limit - e["y1"], e["y2"] - e["y1"]), F.lit(0.0))
-            return point(e["x1"] + t * (e["x2"] - e["x1"]), limit)
-
-        return cut
+        return F.when(F.size(r) >= 3, F.flatten(F.transform(ring_edges(r), step))).otherwise(F.slice(r, 1, 0))
 
-    ring = clip(ring, lambda x, y: x >= xmin, at_x(xmin))
-    ring = clip(ring, lambda x, y: x <= xmax, at_x(xmax))
-    ring = clip(ring, lambda x, y: y >= ymin, at_y(ymin))
-    return clip(ring, lambda x, y: y <= ymax, at_y(ymax))
+    sides = F.array(
+        half_plane(-1, 0, -xmin), half_plane(1, 0, xmax), half_plane(0, -1, -ymin), half_plane(0, 1, ymax))
+    return F.aggregate(sides, ring.cast("array<struct<x:double,y:double>>"),
+                       lambda r, side: clip(r, side).cast("array<struct<x:double,y:double>>"))

@@ -19,16 +19,15 @@ def boundary_edges(cells: DataFrame, by: list[str], carry: tuple[str, ...] = ())
     The direction keeps the area on the left.  An edge is shared by two cells at most.  ``carry``
     names further columns to keep.
     """
-    x = 2 * F.col("col") + F.pmod("row", F.lit(2))
-    y = 3 * F.col("row") + 2
+    x, y = 2 * F.col("col") + F.pmod("row", F.lit(2)), 3 * F.col("row") + 2
     edges = []
     for (ax, ay), (bx, by_) in zip(CORNERS, CORNERS[1:] + CORNERS[:1]):
         edges.append(F.struct(
             (x + ax).cast("long").alias("ux"), (y + ay).cast("long").alias("uy"),
             (x + bx).cast("long").alias("vx"), (y + by_).cast("long").alias("vy")))
     e = cells.select(*by, *carry, F.explode(F.array(*edges)).alias("e")).select(*by, *carry, "e.*")
-    low = F.least(F.struct("ux", "uy"), F.struct("vx", "vy"))
-    high = F.greatest(F.struct("ux", "uy"), F.struct("vx", "vy"))
+    ends = [F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("ux", "uy"), ("vx", "vy"))]
+    low, high = F.least(*ends), F.greatest(*ends)
     return (
         e.groupBy(*by, low.alias("low"), high.alias("high"))
         .agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("ux", "uy", "vx", "vy", *carry)])

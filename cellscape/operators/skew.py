@@ -12,15 +12,19 @@ def join_counted(big: DataFrame, small: DataFrame, on: list[str], count: str, ho
     """Inner join of ``big`` with one row per key in ``small``, whose column ``count`` says how many
     rows of ``big`` have the key.
 
-    Keys above ``max(hot_rows, total / 10000)`` rows are joined by broadcast; there can be at most
-    10,000 of them, because their counts add up to no more than the total.  All other keys are small
-    enough for a shuffle join.
+    A key above ``max(hot_rows, total / 10000)`` rows is hot: its rows get a salt and its ``small``
+    row is copied once per salt, so no task receives more than the limit of one key.  The table of
+    hot keys is broadcast; it has at most 10,000 rows, because their counts add up to no more than
+    the total.
     """
     total = small.agg(F.sum(count)).scalar()
     limit = F.greatest(F.lit(float(hot_rows)), total / HOT_KEYS)
-    hot = small.where(F.col(count) > limit)
-    rest = small.where(F.col(count) <= limit)
-    return big.join(F.broadcast(hot), on).unionByName(big.join(rest.hint("merge"), on))
+    sized = small.withColumn("_salts", F.ceil(F.col(count) / limit))
+    hot = sized.where("_salts > 1").select(*on, "_salts")
+    spread = F.pmod(F.xxhash64(*[c for c in big.columns if c not in on]), F.coalesce("_salts", F.lit(1)))
+    salted = big.join(F.broadcast(hot), on, "left").withColumn("_salt", spread).drop("_salts")
+    copies = sized.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("_salts", F.lit(1)) - 1)))
+    return salted.join(copies.drop("_salts"), [*on, "_salt"]).drop("_salt")
 
 
 def rank_within(df: DataFrame, by: list[str], coarse: Column, order: list[Column], name: str) -> DataFrame:
