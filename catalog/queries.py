@@ -116,7 +116,7 @@ def chosen(spark, sf):
 def way_nodes(spark, sf):
     """Way positions; a real extract has them in its node lists."""
     return materialize_once(spark, f"{sf}/way-nodes", lambda: rank_within(
-        layer(spark, sf, "way_rows"), ["osmid"], F.floor(F.col("l_orderkey") / 4096),
+        layer(spark, sf, "way_rows"), ["osmid"], [F.floor(F.col("l_orderkey") / 4096)],
         [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")], "pos").select("osmid", "city", "pos", "node"))
 
 
@@ -439,11 +439,10 @@ x.EXPECTED.update(INVERSE_BLOCKS)
           FROM {inverse}) i JOIN {degree_pixels} s ON s.sx = i.sx AND s.sy = i.sy""")
 def _(spark, sf):
     source = spark.sql(INVERSE_BLOCKS["degree_pixels"], orders=table(spark, sf, "orders"))
-    targets = spark.sql(INVERSE_BLOCKS["targets"], pixels=layer(spark, sf, "pixels")).select(
-        "city", "year", F.col("x").alias("px"), F.col("y").alias("py"), F.col("u").alias("x"), F.col("v").alias("y"))
+    targets = spark.sql(INVERSE_BLOCKS["targets"], pixels=layer(spark, sf, "pixels"))
     found = raster.resample_nearest(
-        targets, source, 36.2, 32.3, 0.0005, lambda u, v: projection.from_transverse_mercator(_Z, u, v))
-    return found.select("city", "year", F.col("px").alias("x"), F.col("py").alias("y"), "sx", "sy", "val")
+        projection.with_geographic(targets, _Z, "u", "v", "lon", "lat"), source, 36.2, 32.3, 0.0005)
+    return found.select("city", "year", "x", "y", "sx", "sy", "val")
 
 
 # ----- distances ------------------------------------------------------------------------------
@@ -713,7 +712,7 @@ def _(spark, sf):
 
 def folds(spark, sf):
     return evaluate.assign_folds(
-        layer(spark, sf, "scored"), ["model_id"], F.floor(F.col("row_id") / 1024), ["row_id"], config.N_FOLDS)
+        layer(spark, sf, "scored"), ["model_id"], [F.floor(F.col("row_id") / 1024)], ["row_id"], config.N_FOLDS)
 
 
 @query("kfold_assign", "SELECT model_id, row_id, CAST(fold AS INT) AS fold FROM {folds}")

@@ -131,7 +131,11 @@ def closed(ring: Column) -> Column:
 
 def ring_edges(ring: Column) -> Column:
     """ARRAY<STRUCT<x1, y1, x2, y2>> of the closed ring."""
-    c = closed(ring)
+    return closed_ring_edges(closed(ring))
+
+
+def closed_ring_edges(c: Column) -> Column:
+    """The same for a ring that ends where it starts."""
     starts, ends = F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1)
     return F.zip_with(
         starts,
@@ -142,16 +146,12 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-def ring_signed_area(ring: Column) -> Column:
-    return F.aggregate(
-        ring_edges(ring),
-        F.lit(0.0),
-        lambda acc, e: acc + (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2,
-    )
+def edges_signed_area(edges: Column) -> Column:
+    return F.aggregate(edges, F.lit(0.0), lambda acc, e: acc + (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2)
 
 
-def counter_clockwise(ring: Column) -> Column:
-    return F.when(ring_signed_area(ring) < 0, F.reverse(ring)).otherwise(ring)
+def ring_signed_area(ring: Column) -> Column:
+    return edges_signed_area(ring_edges(ring))
 
 
 def is_valid_ring(ring: Column) -> Column:

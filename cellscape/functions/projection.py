@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -69,38 +69,37 @@ def to_transverse_mercator(zone: TransverseMercator, lon: Column, lat: Column) -
     return x + zone.false_easting, y + zone.false_northing
 
 
-def from_transverse_mercator(zone: TransverseMercator, x: Column, y: Column) -> tuple[Column, Column]:
-    """Metres to degrees (Snyder eqs 8-17 to 8-25)."""
+def with_geographic(df: DataFrame, zone: TransverseMercator, x: str, y: str, lon: str, lat: str) -> DataFrame:
+    """Add degrees for metres (Snyder eqs 8-17 to 8-25).
+
+    Built up over several column steps, so that shared terms are computed once per row.
+    """
     e2 = zone.e2
     ep2 = e2 / (1 - e2)
     e1 = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
-    mu = ((y - zone.false_northing) / zone.scale) / (
-        zone.a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256)
-    )
-    phi1 = (
-        mu
-        + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu)
-        + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu)
-        + (151 * e1**3 / 96) * F.sin(6 * mu)
-        + (1097 * e1**4 / 512) * F.sin(8 * mu)
-    )
-    w = 1 - e2 * F.sin(phi1) * F.sin(phi1)
-    n1 = zone.a / F.sqrt(w)
-    r1 = zone.a * (1 - e2) / (w * F.sqrt(w))
-    t1 = F.tan(phi1) * F.tan(phi1)
-    c1 = ep2 * F.cos(phi1) * F.cos(phi1)
-    d = (x - zone.false_easting) / (n1 * zone.scale)
+    mu, phi1, w = F.col("_mu"), F.col("_phi1"), F.col("_w")
+    n1, r1, t1, c1, d = (F.col(c) for c in ("_n1", "_r1", "_t1", "_c1", "_d"))
     d2 = d * d
-    phi = phi1 - (n1 * F.tan(phi1) / r1) * d2 * (
-        0.5
-        - d2 * ((5 + 3 * t1 + 10 * c1 - 4 * c1 * c1 - 9 * ep2) / 24
-                - d2 * (61 + 90 * t1 + 298 * c1 + 45 * t1 * t1 - 252 * ep2 - 3 * c1 * c1) / 720)
-    )
-    lam = d * (
-        1 - d2 * ((1 + 2 * t1 + c1) / 6
-                  - d2 * (5 - 2 * c1 + 28 * t1 - 3 * c1 * c1 + 8 * ep2 + 24 * t1 * t1) / 120)
-    ) / F.cos(phi1)
-    return F.degrees(lam) + zone.meridian, F.degrees(phi)
+    steps = [
+        {"_mu": ((F.col(y) - zone.false_northing) / zone.scale)
+            / (zone.a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))},
+        {"_phi1": mu + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu)
+            + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu)
+            + (151 * e1**3 / 96) * F.sin(6 * mu) + (1097 * e1**4 / 512) * F.sin(8 * mu)},
+        {"_w": 1 - e2 * F.sin(phi1) * F.sin(phi1), "_t1": F.tan(phi1) * F.tan(phi1),
+         "_c1": ep2 * F.cos(phi1) * F.cos(phi1)},
+        {"_n1": zone.a / F.sqrt(w), "_r1": zone.a * (1 - e2) / (w * F.sqrt(w))},
+        {"_d": (F.col(x) - zone.false_easting) / (n1 * zone.scale)},
+        {lat: F.degrees(phi1 - (n1 * F.tan(phi1) / r1) * d2 * (0.5 - d2 * (
+            (5 + 3 * t1 + 10 * c1 - 4 * c1 * c1 - 9 * ep2) / 24
+            - d2 * (61 + 90 * t1 + 298 * c1 + 45 * t1 * t1 - 252 * ep2 - 3 * c1 * c1) / 720))),
+         lon: zone.meridian + F.degrees(d * (1 - d2 * (
+            (1 + 2 * t1 + c1) / 6
+            - d2 * (5 - 2 * c1 + 28 * t1 - 3 * c1 * c1 + 8 * ep2 + 24 * t1 * t1) / 120)) / F.cos(phi1))},
+    ]
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop("_mu", "_phi1", "_w", "_n1", "_r1", "_t1", "_c1", "_d")
 
 
 def project_by_zone(srid: Column, lon: Column, lat: Column, zones=None) -> tuple[Column, Column]:

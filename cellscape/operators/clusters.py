@@ -55,7 +55,7 @@ def cluster_summary(members: DataFrame, population: DataFrame, all_years: bool =
         .groupBy(*CLUSTER_KEY, "root")
         .agg(F.sum("people").alias("population"), F.count("*").alias("n_cells"))
     )
-    return rank_within(summed, CLUSTER_KEY, F.floor(cell_row(F.col("root")) / 64), [F.col("root")], "cluster_id")
+    return rank_within(summed, CLUSTER_KEY, [F.floor(cell_row(F.col("root")) / 64)], [F.col("root")], "cluster_id")
 
 
 def qualifying(clusters: DataFrame, thresholds: list[dict]) -> DataFrame:

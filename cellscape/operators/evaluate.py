@@ -9,14 +9,18 @@ from cellscape.config import CUTOFFS
 from cellscape.operators.skew import join_city_table, rank_within
 
 
-def assign_folds(df: DataFrame, by: list[str], coarse: Column, order: list[str], folds: int) -> DataFrame:
-    """Add ``fold`` 1..k: contiguous blocks in order, the first ``n mod k`` one row larger."""
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_total")) if by else None
+def assign_folds(df: DataFrame, by: list[str], coarse: list[Column], order: list[str], folds: int) -> DataFrame:
+    """Add ``fold`` 1..k: contiguous blocks in order, the first ``n mod k`` one row larger.
+
+    ``coarse`` as in ``rank_within``.  The group size reaches the rows through a table of (group,
+    coarse key), not by a join on a group key that may be hot.
+    """
     ranked = rank_within(df, by, coarse, [F.col(c) for c in order], "_position")
     if by:
-        # the group size is wanted on each row: carry it through the small per-coarse table instead
-        # of joining the rows on a hot group key
-        sized = _with_total(ranked, sizes, by, coarse)
+        keys = {f"_k{i}": c for i, c in enumerate(coarse)}
+        sizes = df.groupBy(*by).agg(F.count("*").alias("_total"))
+        spread = df.withColumns(keys).select(*by, *keys).distinct().join(sizes, by)
+        sized = ranked.withColumns(keys).join(spread, [*by, *keys]).drop(*keys)
     else:
         sized = ranked.withColumn("_total", df.agg(F.count("*")).scalar())
     index, small = F.col("_position") - 1, F.floor(F.col("_total") / folds)
@@ -27,11 +31,6 @@ def assign_folds(df: DataFrame, by: list[str], coarse: Column, order: list[str],
     return sized.withColumn("fold", (fold + 1).cast("int")).drop("_position", "_total")
 
 
-def _with_total(ranked: DataFrame, sizes: DataFrame, by: list[str], coarse: Column) -> DataFrame:
-    spread = ranked.select(*by, coarse.alias("_c")).distinct().join(sizes, by)
-    return ranked.withColumn("_c", coarse).join(spread, [*by, "_c"]).drop("_c")
-
-
 def confusion_by_cutoff(scored: DataFrame, by: list[str], cutoffs: list[float] | None = None) -> DataFrame:
     """True/false positives/negatives per cutoff; rows without a label count nowhere.
 

@@ -18,8 +18,8 @@ def features_wide(
     """Selected features per ``(city, cell_id, year_model)``, missing values 0.
 
     Rows are those of the roads layer and the periods of the population layer.  A row needs an urban
-    distance for both threshold sets.  All joins are on ``(city, cell_id)`` or a key that contains
-    it, so every layer is shuffled once.
+    distance for both threshold sets.  Static layers are joined first, on ``(city, cell_id)``; then
+    all yearly ones on ``(city, cell_id, year_model)``: every layer is shuffled once, the rows twice.
     """
     provided = {c: layer for layer, cols in config.LAYER_COLUMNS.items() for c in cols}
     unknown = [f for f in features if f not in provided and f not in config.URBAN_COLUMNS]
@@ -30,7 +30,7 @@ def features_wide(
         if f in provided:
             wanted.setdefault(provided[f], []).append(f)
 
-    joined = layers["highways"].select(*CELL, *wanted.get("highways", [])).repartition(*CELL)
+    joined = layers["highways"].select(*CELL, *wanted.get("highways", []))
     for layer in config.STATIC_LAYERS:
         if layer in wanted:
             joined = joined.join(layers[layer].select(*CELL, *wanted[layer]), CELL, "left")

@@ -30,11 +30,16 @@ def _levels(cells: DataFrame, targets: DataFrame, tile: float) -> int:
     return max(1, math.ceil(math.log(max(extent / tile, 1.0), FAN)))
 
 
-def _combine(tiles: DataFrame, by: list[str], size: float | None = None) -> DataFrame:
+def _sample() -> list[Column]:
+    """One point of some target: both parts are taken from the same row."""
+    return [F.first("sx").alias("sx"), F.first("sy").alias("sy")]
+
+
+def _combine(tiles: DataFrame, by: list[str]) -> DataFrame:
     coarse = [F.floor(F.col("tx") / FAN).alias("tx"), F.floor(F.col("ty") / FAN).alias("ty")]
     return tiles.groupBy(*by, *coarse).agg(
         F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1b").alias("x1b"), F.max("y1b").alias("y1b"),
-        F.min("sample").alias("sample"),
+        *_sample(),
     )
 
 
@@ -59,7 +64,7 @@ def nearest_distance(
 
     finest = placed.groupBy(*key, "tx", "ty").agg(
         F.min("lx").alias("x0"), F.min("ly").alias("y0"), F.max("hx").alias("x1b"), F.max("hy").alias("y1b"),
-        F.min(F.struct("sx", "sy")).alias("sample"),
+        *_sample(),
     )
     pyramid = [finest]
     for _ in range(levels):
@@ -103,10 +108,10 @@ def _prune(pairs: DataFrame, key: list[str]) -> DataFrame:
     bound = Window.partitionBy(*key, "ax", "ay")
     return (
         pairs.withColumn("near", g.box_gap(*cell_box, *[F.col(c) for c in BOX]))
-        .withColumn("sure", g.box_reach(*cell_box, F.col("sample.sx"), F.col("sample.sy")))
+        .withColumn("sure", g.box_reach(*cell_box, F.col("sx"), F.col("sy")))
         .withColumn("bound", F.min("sure").over(bound))
         .where(F.col("near") <= F.col("bound") + 1e-6)
-        .drop("near", "sure", "bound", "sample")
+        .drop("near", "sure", "bound", "sx", "sy")
     )
 
 

@@ -114,8 +114,11 @@ def water_in_box(water: DataFrame) -> DataFrame:
     ``water`` is ``(city, fid, ring, xmin, ymin, xmax, ymax)``.
     """
     cut = g.clip_ring_to_box(F.col("ring"), F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
+    kept = [c for c in water.columns if c not in ("ring", "xmin", "ymin", "xmax", "ymax")]
+    # the clip goes through a generator, which the filters below it cannot be pushed past: it runs once
     return (
-        water.where(g.is_valid_ring(F.col("ring"))).withColumn("ring", cut)
-        .where(g.is_valid_ring(F.col("ring")) & (F.abs(g.ring_signed_area(F.col("ring"))) > 0))
-        .drop("xmin", "ymin", "xmax", "ymax")
+        water.where(g.is_valid_ring(F.col("ring")))
+        .select(*kept, F.explode(F.array(cut)).alias("ring"))
+        .where(g.is_valid_ring(F.col("ring")))
+        .where(F.abs(g.ring_signed_area(F.col("ring"))) > 0)
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscape.functions import geometry as g
@@ -31,56 +31,48 @@ def _tile_size(side: float) -> float:
     return CELLS_PER_TILE * side
 
 
-def _tiled_pixels(pixels: DataFrame, side: float, width: float, height: float) -> DataFrame:
-    """Pixels placed in every tile holding a cell they may meet; nearly always one tile."""
-    tile = _tile_size(side)
-    reach_x, reach_y = width / 2 + g.apothem(side), height / 2 + side
-    x, y = F.col("x"), F.col("y")
-    return (
-        pixels.withColumn("tx", F.explode(_steps(x - reach_x, x + reach_x, tile)))
-        .withColumn("ty", F.explode(_steps(y - reach_y, y + reach_y, tile)))
-        .withColumn("ix", _index(x, width))
-        .withColumn("iy", _index(y, height))
-        .repartition("city", "tx", "ty")
-    )
-
-
-def _footprints(cells: DataFrame, side: float, width: float, height: float, years: list[int] | None) -> DataFrame:
-    """Candidate pixel indexes of each cell, made after the cells are shuffled to their tiles."""
-    tile = _tile_size(side)
-    reach_x, reach_y = width / 2 + g.apothem(side), height / 2 + side
-    cx, cy = F.col("cx"), F.col("cy")
-    placed = cells.select(
-        "city", "cell_id", "cx", "cy", _index(cx, tile).alias("tx"), _index(cy, tile).alias("ty")
-    ).repartition("city", "tx", "ty")
-    if years is not None:
-        placed = placed.withColumn("year", F.explode(F.array(*[F.lit(y) for y in years])))
-    return placed.withColumn("ix", F.explode(_steps(cx - reach_x, cx + reach_x, width))).withColumn(
-        "iy", F.explode(_steps(cy - reach_y, cy + reach_y, height))
-    )
-
-
 def intersecting_pixels(
     cells: DataFrame, pixels: DataFrame, side: float, width: float, height: float,
-    years: list[int] | None = None, how: str = "inner",
+    years: list[int] | None = None, keep_empty: bool = False,
 ) -> DataFrame:
-    """Cells joined with the pixels they share a point with.
+    """Cells with the pixels they share a point with: ``(city, tx, ty, cell_id, [year], <bands>)``.
 
-    Both sides are shuffled once, to tiles; the equality on pixel indexes makes it a hash or merge
-    join, and the exact hexagon-rectangle test is its residual condition.
+    One shuffle brings compact cell rows and pixel rows to their tiles.  There each cell is expanded
+    to the pixel positions it may meet, and a window over the position hands it the one pixel stored
+    there; the exact hexagon-rectangle test decides.  Partitioned by tile, so aggregates per cell
+    follow without a shuffle.  With ``keep_empty`` positions without a pixel stay, as NULLs.
     """
-    keys = ["city", "tx", "ty", "ix", "iy"] + (["year"] if years is not None else [])
-    cell = _footprints(cells, side, width, height, years).alias("c")
-    pixel = _tiled_pixels(pixels, side, width, height).alias("p")
-    meets = g.hexagon_meets_rectangle(
-        F.col("c.cx") - F.col("p.x"), F.col("c.cy") - F.col("p.y"), F.lit(width / 2), F.lit(height / 2), side
-    )
-    condition = reduce(lambda a, b: a & b, [F.col(f"c.{k}") == F.col(f"p.{k}") for k in keys], meets)
+    tile, b = CELLS_PER_TILE * side, g.apothem(side)
+    reach_x, reach_y = width / 2 + b, height / 2 + side
     bands = [c for c in pixels.columns if c not in ("city", "year")]
-    years_out = ["c.year"] if years is not None else []
-    return cell.join(pixel, condition, how).select(
-        "c.city", "c.tx", "c.ty", "c.cell_id", *years_out, *[f"p.{b}" for b in bands]
+    x, y, cx, cy = F.col("x"), F.col("y"), F.col("cx"), F.col("cy")
+    # a pixel goes to every tile with a cell it may meet, nearly always one
+    placed_pixels = (
+        pixels.withColumn("tx", F.explode(_steps(x - reach_x, x + reach_x, tile)))
+        .withColumn("ty", F.explode(_steps(y - reach_y, y + reach_y, tile)))
     )
+    placed_cells = cells.select("city", "cell_id", "cx", "cy", _index(cx, tile).alias("tx"), _index(cy, tile).alias("ty"))
+    rows = placed_cells.unionByName(placed_pixels, allowMissingColumns=True).repartition("city", "tx", "ty")
+    is_cell = F.col("cell_id").isNotNull()
+    year = []
+    if years is not None:
+        wanted = F.array(*[F.lit(v) for v in years])
+        rows = rows.withColumn("year", F.explode(F.when(is_cell, wanted).otherwise(F.array("year"))))
+        year = ["year"]
+
+    def positions(centre: Column, reach: float, own: Column, step: float) -> Column:
+        low = F.when(is_cell, _index(centre - reach, step)).otherwise(_index(own, step))
+        high = F.when(is_cell, _index(centre + reach, step)).otherwise(_index(own, step))
+        return F.explode(F.sequence(low, high))
+
+    rows = rows.withColumn("ix", positions(cx, reach_x, x, width)).withColumn("iy", positions(cy, reach_y, y, height))
+    spot = Window.partitionBy("city", "tx", "ty", *year, "ix", "iy")
+    met = rows.select("city", "tx", "ty", "cell_id", *year, "cx", "cy", *[F.max(c).over(spot).alias(c) for c in bands]).where(is_cell)
+    meets = g.hexagon_meets_rectangle(cx - x, cy - y, F.lit(width / 2), F.lit(height / 2), side)
+    key = ["city", "tx", "ty", "cell_id", *year]
+    if keep_empty:
+        return met.select(*key, *[F.when(meets, F.col(c)).alias(c) for c in bands])
+    return met.where(meets).select(*key, *bands)
 
 
 STATISTICS = {
@@ -113,12 +105,12 @@ def zonal_statistics(
         pieces = []
         for band in bands:  # regions differ by band
             regions = raster_regions(pixels.select("city", *year_key, "x", "y", F.col(band).alias("val")), width, height)
-            met = intersecting_pixels(cells, regions, side, width, height, years, "left")
-            once = met.groupBy(*group, "region_id").agg(F.first("val").alias(band))
+            met = intersecting_pixels(cells, regions, side, width, height, years, keep_empty=True)
+            once = met.groupBy(*group, "region_id").agg(F.max("val").alias(band))
             pieces.append(once.groupBy(*group).agg(*_aggregates({band: bands[band]}, statistics)))
         result = reduce(lambda a, b: a.join(b, group), pieces)
     else:
-        met = intersecting_pixels(cells, pixels.select(*keep), side, width, height, years, "left")
+        met = intersecting_pixels(cells, pixels.select(*keep), side, width, height, years, keep_empty=True)
         result = met.groupBy(*group).agg(*_aggregates(bands, statistics))
     result = result.drop("tx", "ty")
     if years is not None:
@@ -189,14 +181,15 @@ def clip_raster(pixels: DataFrame, areas: DataFrame, strip: float) -> DataFrame:
     return inside(pixels, areas, ["city"], "x", "y", strip).where("winding <> 0").drop("winding")
 
 
-def resample_nearest(targets: DataFrame, source: DataFrame, lon0: float, lat0: float, step: float,
-                     to_source) -> DataFrame:
-    """Value of the source pixel under each target pixel centre ``(city, x, y)``; no row if none.
+def resample_nearest(targets: DataFrame, source: DataFrame, lon0: float, lat0: float, step: float) -> DataFrame:
+    """Value of the source pixel under each target pixel; no row if there is none.
 
-    ``to_source(x, y)`` gives source coordinates as two Columns; source pixels are
+    ``targets`` has the target centre in source coordinates, ``lon, lat``; source pixels are
     ``(sx, sy, val)`` counted from (lon0, lat0) in steps of ``step``.
     """
-    u, v = to_source(F.col("x"), F.col("y"))
-    looked_up = targets.select("*", F.floor((u - lon0) / step).alias("sx"), F.floor((v - lat0) / step).alias("sy"))
+    nowhere = F.lit(-(1 << 60))  # keeps the key free of NULLs, so no NULL test repeats the projection
+    looked_up = targets.withColumns({
+        "sx": F.coalesce(F.floor((F.col("lon") - lon0) / step), nowhere),
+        "sy": F.coalesce(F.floor((F.col("lat") - lat0) / step), nowhere)})
     keys = [c for c in ("city", "year", "sx", "sy") if c in source.columns and c in looked_up.columns]
     return looked_up.join(source, keys)

@@ -27,25 +27,29 @@ def join_counted(big: DataFrame, small: DataFrame, on: list[str], count: str, ho
     return salted.join(copies.drop("_salts"), [*on, "_salt"]).drop("_salt")
 
 
-def rank_within(df: DataFrame, by: list[str], coarse: Column, order: list[Column], name: str) -> DataFrame:
+def rank_within(df: DataFrame, by: list[str], coarse: list[Column], order: list[Column], name: str) -> DataFrame:
     """Add ``name``, the 1-based position of each row in its group, without sorting a group in one task.
 
-    ``coarse`` must not decrease along ``order``.  Rows are numbered inside each (group, coarse value)
-    and shifted by the number of rows in the smaller coarse values.
+    ``coarse`` are one or more keys, from wide to narrow, that together do not decrease along
+    ``order``.  Rows are numbered inside the narrowest key and shifted by the rows before it; the
+    shifts are added up level by level from counts, so that each sort stays small.
     """
-    keyed = df.withColumn("_coarse", coarse)
-    before = Window.partitionBy(*by).orderBy("_coarse").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        keyed.groupBy(*by, "_coarse").agg(F.count("*").alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    inner = Window.partitionBy(*by, "_coarse").orderBy(*order)
-    numbered = keyed.withColumn("_inner", F.row_number().over(inner))
+    keys = [f"_c{i}" for i in range(len(coarse))]
+    keyed = df.withColumns(dict(zip(keys, coarse)))
+    counts = keyed.groupBy(*by, *keys).agg(F.count("*").alias("_n"))
+    offsets = counts.withColumn("_offset", F.lit(0).cast("long"))
+    for level in range(len(keys)):
+        upper, key = [*by, *keys[:level]], keys[level]
+        before = Window.partitionBy(*upper).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        shift = counts.groupBy(*upper, key).agg(F.sum("_n").alias("_m")).select(
+            *upper, key, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_shift"))
+        offsets = offsets.join(shift, [*upper, key]).withColumn("_offset", F.col("_offset") + F.col("_shift")).drop("_shift")
+    inner = Window.partitionBy(*by, *keys).orderBy(*order)
     return (
-        numbered.join(offsets, [*by, "_coarse"])
+        keyed.withColumn("_inner", F.row_number().over(inner))
+        .join(offsets.drop("_n"), [*by, *keys])
         .withColumn(name, F.col("_offset") + F.col("_inner"))
-        .drop("_coarse", "_inner", "_offset")
+        .drop("_inner", "_offset", *keys)
     )
 
 

@@ -14,13 +14,23 @@ from cellscape.functions import geometry as g
 
 
 def ring_segments(rings: DataFrame, by: list[str]) -> DataFrame:
-    """One row per edge ``(by, x1, y1, x2, y2)`` of counter-clockwise rings."""
-    return (
+    """One row per edge ``(by, x1, y1, x2, y2)``, directed counter-clockwise around the ring.
+
+    The array steps are separate columns, so that each is computed once per ring.
+    """
+    edges = (
         rings.where(g.is_valid_ring(F.col("ring")))
-        .select(*by, F.explode(g.ring_edges(g.counter_clockwise(F.col("ring")))).alias("e"))
-        .select(*by, "e.x1", "e.y1", "e.x2", "e.y2")
+        .select(*by, g.closed(F.col("ring")).alias("ring"))
+        .select(*by, g.closed_ring_edges(F.col("ring")).alias("edges"))
+        .select(*by, (g.edges_signed_area(F.col("edges")) < 0).alias("clockwise"), "edges")
+        .select(*by, "clockwise", F.inline("edges"))
     )
 
+    def end(normal: str, reverse: str):
+        return F.when(F.col("clockwise"), F.col(reverse)).otherwise(F.col(normal)).alias(normal)
+
+    return edges.select(*by, end("x1", "x2"), end("y1", "y2"), end("x2", "x1"), end("y2", "y1"))
+
 
 def inside(points: DataFrame, rings: DataFrame, by: list[str], x: str, y: str, strip: float) -> DataFrame:
     """Add ``winding``: how many rings of the same group cover each point (0 = outside all).

@@ -123,7 +123,7 @@ def cross_validate(name: str, parameters: dict, frame: DataFrame, columns: list[
     ``frame`` has the cell key, ``features`` and ``label``.  Rows are ordered by period and cell.
     """
     known = frame.where(F.col("label").isNotNull()).select("city", "cell_id", "year_model", "features", "label")
-    coarse = F.struct("year_model", "city", F.floor(F.shiftright("cell_id", 20) / 64))
+    coarse = [F.col("year_model"), F.col("city"), F.floor(F.shiftright("cell_id", 20) / 64)]
     folded = materialize(
         evaluate.assign_folds(known, [], coarse, ["year_model", "city", "cell_id"], folds), "folds")
     full = models.fit(name, parameters, folded)

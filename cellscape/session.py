@@ -8,15 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators count on.
-#  * co-partitioning on a subset of the join keys lets one shuffle on (city, tile) or
-#    (city, cell_id) serve the join and every aggregate after it;
+#  * joins keep Spark's rule that both sides are partitioned on all join keys: with a weaker rule a
+#    join on (city, tile) would settle for partitions by city, and a large city for one task;
 #  * AQE picks broadcasts from measured sizes and splits skewed join partitions.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # tile pairs and footprints are small rows that expand inside a task: keep many partitions
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
