@@ -19,8 +19,10 @@ STAGES = {
     "stage_way_nodes": q.way_nodes,
     "stage_zonal_built": lambda spark, sf: q.stored_zonal(spark, sf, "built"),
     "stage_zonal_population": lambda spark, sf: q.stored_zonal(spark, sf, "population"),
+    "stage_zonal_lights": lambda spark, sf: q.stored_zonal(spark, sf, "lights"),
     "stage_members": q.members,
     "stage_chosen": q.chosen,
+    **{f"stage_{n}": (lambda spark, sf, n=n: q.stored_layer(spark, sf, n)) for n in q.LAYERS},
     "stage_features": q.stored_features,
     "stage_labels": q.stored_labels,
 }

@@ -148,25 +148,27 @@ def cell_slope(spark, sf):
         {"slope_pct": "slope_pct", "slope_degrees": "slope_degrees"}, ["min", "max", "mean", "stddev"])
 
 
-def static_layers(spark, sf):
-    c = cells(spark, sf)
-    return {
-        "highways": distances.highways(c, road_segments(spark, sf), TILE),
-        "slope": cell_slope(spark, sf),
-        "geopins": distances.geopins(c, layer(spark, sf, "points"), TILE),
-        "water_bodies": distances.water_bodies(c, water_rings(spark, sf), TILE),
-        "city_center": hexgrid.centre_distance(c, centres(spark, sf)),
-    }
-
-
-def make_features(spark, sf):
-    layers = {
-        **static_layers(spark, sf),
-        "population": stored_zonal(spark, sf, "population"),
-        "built_lds": stored_zonal(spark, sf, "built"),
-        "city_lights": zonal(spark, sf, "lights"),
-    }
-    urban = cl.urban_distance(cells(spark, sf), chosen(spark, sf), SIDE, TILE)
+LAYERS = {
+    "highways": lambda spark, sf: distances.highways(cells(spark, sf), road_segments(spark, sf), TILE),
+    "slope": cell_slope,
+    "geopins": lambda spark, sf: distances.geopins(cells(spark, sf), layer(spark, sf, "points"), TILE),
+    "water_bodies": lambda spark, sf: distances.water_bodies(cells(spark, sf), water_rings(spark, sf), TILE),
+    "city_center": lambda spark, sf: hexgrid.centre_distance(cells(spark, sf), centres(spark, sf)),
+    "urban_distance": lambda spark, sf: cl.urban_distance(cells(spark, sf), chosen(spark, sf), SIDE, TILE),
+}
+
+
+def stored_layer(spark, sf, name):
+    return materialize_once(spark, f"{sf}/layer-{name}", lambda: LAYERS[name](spark, sf))
+
+
+def make_features(spark, sf, **replaced):
+    """The feature join over the stored layer tables."""
+    layers = {name: stored_layer(spark, sf, name) for name in LAYERS if name not in replaced}
+    layers |= {
+        "population": stored_zonal(spark, sf, "population"), "built_lds": stored_zonal(spark, sf, "built"),
+        "city_lights": stored_zonal(spark, sf, "lights"), **replaced}
+    urban = layers.pop("urban_distance")
     return features.features_wide(layers, urban, config.DEFAULT_FEATURES, *THRESHOLDS)
 
 
@@ -632,14 +634,7 @@ def _(spark, sf):
         f"0e0 AS {c}" if c.startswith("water") else f"round({c}, 6) AS {c}" for c in config.DEFAULT_FEATURES)} FROM {{wide}}""")
 def _(spark, sf):
     none = spark.createDataFrame([], "city long, fid long, ring array<struct<x:double,y:double>>")
-    layers = {
-        **static_layers(spark, sf),
-        "water_bodies": distances.water_bodies(cells(spark, sf), none, TILE),
-        "population": stored_zonal(spark, sf, "population"), "built_lds": stored_zonal(spark, sf, "built"),
-        "city_lights": zonal(spark, sf, "lights"),
-    }
-    urban = cl.urban_distance(cells(spark, sf), chosen(spark, sf), SIDE, TILE)
-    return rounded(features.features_wide(layers, urban, config.DEFAULT_FEATURES, *THRESHOLDS))
+    return rounded(make_features(spark, sf, water_bodies=distances.water_bodies(cells(spark, sf), none, TILE)))
 
 
 @query("training_frame", f"""
@@ -808,7 +803,7 @@ def _(spark, sf):
 @query("schema_conformance")
 def _(spark, sf):
     stored = {"built_lds": stored_zonal(spark, sf, "built"), "population": stored_zonal(spark, sf, "population"),
-              "urban_distance": cl.urban_distance(cells(spark, sf), chosen(spark, sf), SIDE, TILE)}
+              "urban_distance": stored_layer(spark, sf, "urban_distance")}
     rows = [schemas.conform(df, n).groupBy("year_model").agg(F.count("*").alias("n_rows")).withColumn("layer", F.lit(n))
             for n, df in stored.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])

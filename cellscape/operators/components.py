@@ -105,16 +105,17 @@ def connected_components(
     border = labelled.where(
         F.pmod("row", F.lit(TILE)).isin(0, edge) | F.pmod("col", F.lit(TILE)).isin(0, edge)
     )
-    value = [same] if same else []
+    value = [F.col(same).alias("_same")] if same else []
+    match = ["_same"] if same else []
     out = (
         border.select(*by, *value, "trow", "tcol", F.col("tile_label").alias("u"),
                       F.explode(_forward(F.col("row"), F.col("col"), shape)).alias("n"))
         .where((F.floor(F.col("n.row") / TILE) != F.col("trow")) | (F.floor(F.col("n.col") / TILE) != F.col("tcol")))
-        .select(*by, *value, "u", F.col("n.row").alias("row"), F.col("n.col").alias("col"))
+        .select(*by, *match, "u", F.col("n.row").alias("row"), F.col("n.col").alias("col"))
     )
     ends = border.select(*by, *value, "row", "col", F.col("tile_label").alias("v"))
     edges = materialize(
-        out.join(ends, [*by, *value, "row", "col"])
+        out.join(ends, [*by, *match, "row", "col"])
         .select(*by, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct(),
         "tile-edges",
