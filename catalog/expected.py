@@ -260,23 +260,23 @@ EXPECTED: dict[str, str] = {
         JOIN {urban_dist} u1 ON u1.city = r.city AND u1.cell_id = r.cell_id AND u1.year_model = p.year_model AND u1.built_threshold = 40
         JOIN {urban_dist} u2 ON u2.city = r.city AND u2.cell_id = r.cell_id AND u2.year_model = p.year_model AND u2.built_threshold = 50""",
     "confusion": """
-        SELECT model_id, cutoff, sum(CASE WHEN score >= cutoff AND label = 1 THEN 1 ELSE 0 END) AS tp,
-               sum(CASE WHEN score < cutoff AND label = 0 THEN 1 ELSE 0 END) AS tn,
-               sum(CASE WHEN score >= cutoff AND label = 0 THEN 1 ELSE 0 END) AS fp,
-               sum(CASE WHEN score < cutoff AND label = 1 THEN 1 ELSE 0 END) AS fn
+        SELECT model_id, cutoff, count(*) FILTER (WHERE score >= cutoff AND label = 1) AS tp,
+               count(*) FILTER (WHERE score < cutoff AND label = 0) AS tn,
+               count(*) FILTER (WHERE score >= cutoff AND label = 0) AS fp,
+               count(*) FILTER (WHERE score < cutoff AND label = 1) AS fn
         FROM {scored} CROSS JOIN (SELECT i / 100e0 AS cutoff FROM range(10, 91, 5) t(i)) c GROUP BY ALL""",
     "folds": """
         SELECT model_id, row_id, score, label, ntile(5) OVER (PARTITION BY model_id ORDER BY row_id) AS fold FROM {scored}""",
     "fold_confusion": """
-        SELECT model_id, fold, cutoff, sum(CASE WHEN score >= cutoff AND label = 1 THEN 1 ELSE 0 END) AS tp,
-               sum(CASE WHEN score < cutoff AND label = 0 THEN 1 ELSE 0 END) AS tn,
-               sum(CASE WHEN score >= cutoff AND label = 0 THEN 1 ELSE 0 END) AS fp,
-               sum(CASE WHEN score < cutoff AND label = 1 THEN 1 ELSE 0 END) AS fn
+        SELECT model_id, fold, cutoff, count(*) FILTER (WHERE score >= cutoff AND label = 1) AS tp,
+               count(*) FILTER (WHERE score < cutoff AND label = 0) AS tn,
+               count(*) FILTER (WHERE score >= cutoff AND label = 0) AS fp,
+               count(*) FILTER (WHERE score < cutoff AND label = 1) AS fn
         FROM {folds} CROSS JOIN (SELECT i / 100e0 AS cutoff FROM range(10, 91, 5) t(i)) c GROUP BY ALL""",
     "city_confusion": """
-        SELECT city, model_id, cutoff, sum(CASE WHEN score >= cutoff AND label = 1 THEN 1 ELSE 0 END) AS tp,
-               sum(CASE WHEN score >= cutoff AND label = 0 THEN 1 ELSE 0 END) AS fp,
-               sum(CASE WHEN score < cutoff AND label = 1 THEN 1 ELSE 0 END) AS fn
+        SELECT city, model_id, cutoff, count(*) FILTER (WHERE score >= cutoff AND label = 1) AS tp,
+               count(*) FILTER (WHERE score >= cutoff AND label = 0) AS fp,
+               count(*) FILTER (WHERE score < cutoff AND label = 1) AS fn
         FROM {scored} CROSS JOIN (SELECT i / 100e0 AS cutoff FROM range(10, 91, 5) t(i)) c GROUP BY ALL""",
     "best": """
         SELECT city, model_type, model_id, cutoff, f1 AS value FROM (

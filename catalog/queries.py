@@ -20,7 +20,7 @@ from cellscape.functions.keys import canonical_json, canonical_list, fingerprint
 from cellscape.operators import clusters as cl
 from cellscape.operators import distances, dissolve, evaluate, features, hexgrid, knn, models, osm, raster
 from cellscape.operators.bayes import GaussianNB
-from cellscape.operators.skew import rank_within
+from cellscape.operators.skew import join_dimension, rank_within
 from cellscape.plans import experiment
 from cellscape.session import configure, materialize_once
 from cellscape.sources import readers, schemas, writers
@@ -904,7 +904,7 @@ def _(spark, sf):
     SELECT p.fid, p.city FROM {points} p JOIN {boxes} b ON b.city = p.city
     WHERE p.x BETWEEN b.xmin AND b.xmax AND p.y BETWEEN b.ymin AND b.ymax""")
 def _(spark, sf):
-    return layer(spark, sf, "points").join(layer(spark, sf, "boxes"), "city").where(
+    return join_dimension(layer(spark, sf, "points"), layer(spark, sf, "boxes"), ["city"]).where(
         osm.in_box(F.col("x"), F.col("y"), F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))).select("fid", "city")
 
 
@@ -984,7 +984,7 @@ x.EXPECTED["water_sides"] = """
                     + (CASE WHEN -u - v >= r OR u <= -r OR v <= -r THEN 0 ELSE (r + u + v) * (r + u + v) / 2 END) END)
         END AS area FROM {water_sides}) e WHERE area > 1e-9""")
 def _(spark, sf):
-    w = water_rings(spark, sf).join(layer(spark, sf, "boxes"), "city")
+    w = join_dimension(water_rings(spark, sf), layer(spark, sf, "boxes"), ["city"])
     return rounded(osm.water_in_box(w).select("city", "fid", F.abs(g.ring_signed_area(F.col("ring"))).alias("area")), 4)
 
 

@@ -27,6 +27,12 @@ def join_counted(big: DataFrame, small: DataFrame, on: list[str], count: str, ho
     return salted.join(copies.drop("_salts"), [*on, "_salt"]).drop("_salt")
 
 
+def join_dimension(big: DataFrame, dimension: DataFrame, on: list[str], hot_rows: int = 1_000_000) -> DataFrame:
+    """Inner join with a table of one row per key, when ``big`` may have most rows on one key."""
+    counts = big.groupBy(*on).agg(F.count("*").alias("_rows"))
+    return join_counted(big, counts.join(dimension, on), on, "_rows", hot_rows).drop("_rows")
+
+
 def rank_within(df: DataFrame, by: list[str], coarse: list[Column], order: list[Column], name: str) -> DataFrame:
     """Add ``name``, the 1-based position of each row in its group, without sorting a group in one task.
 

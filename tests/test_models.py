@@ -46,7 +46,7 @@ def separable(spark):
     for i in range(600):
         a, b, c = (rng.gauss(0, 1) for _ in range(3))
         rows.append((i % 4, i, 1990, Vectors.dense(a, b, c), int(a + 0.3 * b > 0)))
-    return spark.createDataFrame(rows, ["city", "cell_id", "year_model", "features", "label"]).cache()
+    return spark.createDataFrame(rows, ["city", "cell_id", "year_model", "features", "label"]).coalesce(1).cache()
 
 
 TREES = {"n_estimators": 10, "max_depth": 50, "max_features": "sqrt", "criterion": "gini", "min_samples_split": 2, "random_state": 3}
