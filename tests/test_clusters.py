@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellscape.functions import geometry as g
 from cellscape.operators import clusters as cl
-from cellscape.operators import components, dissolve, features, hexgrid, raster, skew
+from cellscape.operators import components, dissolve, features, raster, skew
 
 SIDE = 10.0
 
