@@ -11,9 +11,9 @@ we beat the prefix filtering?", 2012).
    is a heuristic of bounded size: a shingle missing from it costs time, no result.
 2. Prefix shingles meet in one shuffle.  Rare ones give pairs at once.  Frequent ones are first compared
    with one leader of each length class, so that a large group of near copies becomes one component in
-   one step; only pairs between components remain, made in blocks of bounded size and sifted by parity
-   bitmaps, which never reject a pair that links.
-3. Candidates are verified on whole sets.  Equal sets are one node throughout.
+   one step; only pairs between components remain, made in blocks of bounded size.
+3. Candidates are sifted by parity bitmaps (Sandes et al., "A bitmap filter for set similarity joins"),
+   which never reject a pair that links, and verified on whole sets.  Equal sets are one node throughout.
 
 Shingles are compared by 64-bit hashes, equal sets by 128 bits.
 """
@@ -38,7 +38,7 @@ LOCAL_HASHES = 1 << 22
 MAX_MATCHES = 8
 VERIFY_COST = 20.0
 BLOCK = 512
-BITMAP_WORDS = 8
+BITMAP_WORDS = 16
 LONG = np.int64
 
 
@@ -57,16 +57,16 @@ def _sign(marks: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(size: int):
-    """Rows (doc_id, n, s1, s2), and (null, count, shingle, null) for the frequent shingles of the task."""
-    schema = "doc_id long, n int, s1 long, s2 long"
+    """Rows (doc_id, n, s1, s2, bits), and (null, count, shingle, null, null) for frequent shingles of the task."""
+    schema = "doc_id long, n int, s1 long, s2 long, bits binary"
 
     def hot(held: list[np.ndarray]) -> pa.RecordBatch:
         values, counts = np.unique(np.concatenate(held), return_counts=True)
         keep = counts >= LOCAL_HOT
         none = pa.nulls(int(keep.sum()), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [none, pa.array(counts[keep].astype(np.int32)), pa.array(values[keep].view(LONG)), none],
-            ["doc_id", "n", "s1", "s2"])
+            [none, pa.array(counts[keep].astype(np.int32)), pa.array(values[keep].view(LONG)), none, none.cast(pa.binary())],
+            ["doc_id", "n", "s1", "s2", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -74,10 +74,12 @@ def signatures(size: int):
         total = 0
         for batch in batches:
             n, s1, s2 = (np.zeros(batch.num_rows, LONG) for _ in range(3))
+            bits: list[bytes] = [b""] * batch.num_rows
             for row, marks in _sets(batch, size):
                 n[row] = len(marks)
                 if len(marks):
                     s1[row], s2[row] = _sign(marks)
+                    bits[row] = _bitmap(marks)
                     if s1[row] not in seen:
                         seen.add(s1[row])
                         held.append(marks)
@@ -86,15 +88,15 @@ def signatures(size: int):
                     yield hot(held)
                     held, total = [], 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int32)), pa.array(s1), pa.array(s2)],
-                ["doc_id", "n", "s1", "s2"])
+                [batch.column("doc_id"), pa.array(n.astype(np.int32)), pa.array(s1), pa.array(s2), pa.array(bits, pa.binary())],
+                ["doc_id", "n", "s1", "s2", "bits"])
         if held:
             yield hot(held)
 
     return run, schema
 
 
-PREFIX = "token long, salt int, node long, n int, ell int, score float, bitmap binary"
+PREFIX = "token long, salt int, node long, n int, ell int, score float"
 
 
 def prefixes(size: int, percent: int, hot_tokens, hot_counts):
@@ -108,7 +110,6 @@ def prefixes(size: int, percent: int, hot_tokens, hot_counts):
         ells = np.arange(1, MAX_MATCHES + 1)
         for batch in batches:
             parts: list[tuple] = []
-            maps: list = []
             for _, marks in _sets(batch, size):
                 n = len(marks)
                 if not n:
@@ -135,27 +136,24 @@ def prefixes(size: int, percent: int, hot_tokens, hot_counts):
                 chosen = order[:length]
                 heavy = weight[chosen] > 0
                 parts.append((marks[chosen], heavy, node, n, ell, float(weight.mean())))
-                maps.append(_bitmap(marks) if heavy.any() else None)
             if not parts:
                 continue
             lengths = [len(p[0]) for p in parts]
             heavy = np.concatenate([p[1] for p in parts])
             spread = lambda k, kind: np.repeat(np.array([p[k] for p in parts], dtype=kind), lengths)
-            which = np.repeat(np.arange(len(parts)), lengths)
             node = spread(2, LONG)
             salt = np.where(heavy, 1 + (node & 63), 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([p[0] for p in parts]).view(LONG)), pa.array(salt), pa.array(node),
-                 pa.array(spread(3, np.int32)), pa.array(spread(4, np.int32)), pa.array(spread(5, np.float32)),
-                 pa.array([maps[w] if h else None for w, h in zip(which, heavy)], pa.binary())],
-                ["token", "salt", "node", "n", "ell", "score", "bitmap"])
+                 pa.array(spread(3, np.int32)), pa.array(spread(4, np.int32)), pa.array(spread(5, np.float32))],
+                ["token", "salt", "node", "n", "ell", "score"])
 
     return run
 
 
 def _bitmap(marks: np.ndarray) -> bytes:
-    """Parity of the shingles in each of 512 buckets: two sets differ in at least as many elements as bits."""
-    spot = (wh.mix(marks + np.uint64(77)) >> np.uint64(55)).astype(LONG)
+    """Parity of the shingles in each of 1024 buckets: two sets differ in at least as many elements as bits."""
+    spot = (wh.mix(marks + np.uint64(77)) >> np.uint64(54)).astype(LONG)
     bits = np.bincount(spot, minlength=64 * BITMAP_WORDS) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
@@ -192,16 +190,16 @@ def _opens(table: pa.Table, keys: list[str]) -> np.ndarray:
     return new
 
 
-PAIRS = "token long, a long, b long, n int, ell int, score float, bitmap binary"
+PAIRS = "token long, a long, b long, n int, ell int, score float"
 
 
-def _pair_rows(a, b, need, **heavy) -> pa.RecordBatch:
+def _pair_rows(a, b, need) -> pa.RecordBatch:
     low, high = np.minimum(a, b), np.maximum(a, b)
     none = len(low)
     return pa.RecordBatch.from_arrays(
         [pa.nulls(none, pa.int64()), pa.array(low), pa.array(high), pa.nulls(none, pa.int32()),
-         pa.array(need.astype(np.int32)), pa.nulls(none, pa.float32()), pa.nulls(none, pa.binary())],
-        ["token", "a", "b", "n", "ell", "score", "bitmap"])
+         pa.array(need.astype(np.int32)), pa.nulls(none, pa.float32())],
+        ["token", "a", "b", "n", "ell", "score"])
 
 
 def meet(percent: int):
@@ -218,7 +216,7 @@ def meet(percent: int):
                 part = table.take(pa.array(hot))
                 yield from pa.table(
                     {"token": part["token"], "a": part["node"], "b": pa.nulls(len(hot), pa.int64()), "n": part["n"],
-                     "ell": part["ell"], "score": part["score"], "bitmap": part["bitmap"]}).to_batches()
+                     "ell": part["ell"], "score": part["score"]}).to_batches()
             cold = np.flatnonzero(salt == 0)
             token, node, n, ell = (table.column(c).to_numpy()[cold] for c in ("token", "node", "n", "ell"))
             if len(token) < 2:
@@ -257,27 +255,44 @@ def cross(percent: int, within: bool):
         for table in _table_runs(batches, keys):
             starts = np.append(np.flatnonzero(_opens(table, keys)), table.num_rows)
             node, n, ell, comp, blk, i, j = (table.column(c).to_numpy() for c in ("node", "n", "ell", "comp", "blk", "i", "j"))
-            bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), dtype=np.uint64).reshape(-1, BITMAP_WORDS)
+            bits = _bit_rows(table.column("bits"))
             for lo, hi in zip(starts[:-1], starts[1:]):
                 rows = np.arange(lo, hi)
                 left, right = rows[blk[rows] == i[lo]], rows[blk[rows] == j[lo]]
                 for x in left:
                     y = right if i[lo] != j[lo] else right[right > x]
                     y = y[node[y] != node[x]] if within else y[comp[y] != comp[x]]
-                    total = n[x] + n[y]
                     y = y[100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])]
                     if not len(y):
                         continue
-                    apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=LONG)
-                    total = (n[x] + n[y]).astype(LONG)
-                    # a link has (100 + percent) * apart <= (100 - percent) * total
-                    y = y[(100 + percent) * apart <= (100 - percent) * total]
+                    y = y[_may_link(bits[y], bits[x], n[y], n[x], percent)]
                     if len(y):
                         yield _pair_rows(np.full(len(y), node[x]), node[y], np.minimum(ell[x], ell[y]))
 
     return run
 
 
+def _bit_rows(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, BITMAP_WORDS)
+
+
+def _may_link(bits_a, bits_b, na, nb, percent: int) -> np.ndarray:
+    """False only for pairs below the similarity: a link has (100 + p) * differing <= (100 - p) * (na + nb)."""
+    apart = np.bitwise_count(bits_a ^ bits_b).sum(axis=1, dtype=LONG)
+    return (100 + percent) * apart <= (100 - percent) * (np.asarray(na, LONG) + nb)
+
+
+def sift(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keep = _may_link(_bit_rows(batch.column("bits_a")), _bit_rows(batch.column("bits_b")),
+                                 batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
+                yield batch.filter(pa.array(keep)).select(["a", "b", "shared", "need"])
+
+    return run
+
+
 def set_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,12 +380,23 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, all_li
         .mapInArrow(meet(percent), PAIRS), "met")
     hot_tokens.destroy()
     hot_counts.destroy()
-    pairs = stages.store(
-        met.where("token is null").groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("ell").alias("need")), "pairs")
-    heavy = (met.where("token is not null").select("token", F.col("a").alias("node"), "n", "ell", "score", "bitmap"))
-    heavy = stages.store(heavy.dropDuplicates(["token", "node"]), "heavy")
+    reps = (base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits")))
+    reps = stages.store(reps, "reps")
+    bits = reps.select(F.col("s1").alias("node"), "n", "bits")
+    heavy = stages.store(met.where("token is not null").select("token", F.col("a").alias("node"), "n", "ell", "score")
+                         .dropDuplicates(["token", "node"]), "heavy")
+
+    # one leader for each frequent shingle and length class
+    width = float(np.log(100 / percent))
+    classed = heavy.select("token", "node", F.floor(F.log(F.col("n").cast("double")) / width).alias("cls"), "score")
+    leaders = classed.groupBy("token", "cls").agg(F.max(F.struct("score", "node")).alias("top"))
+    stars = (classed.join(leaders, ["token", "cls"]).where("node <> top.node")
+             .select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b"),
+                     F.lit(1).cast("long").alias("shared"), F.lit(1).alias("need")).distinct())
+    pairs = (met.where("token is null").groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("ell").alias("need"))
+             .unionByName(stars))
+    pairs = stages.store(_sifted(pairs, bits, percent), "pairs")
 
-    reps = base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     involved = stages.store(
         pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).union(heavy.select("node")).distinct()
         .join(reps, "s1").select(F.col("s1").alias("node"), "rep"), "involved")
@@ -381,18 +407,14 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, all_li
         wanted = wanted.unionByName(plain.where("doc_id is null"))
     sets = stages.store(wanted.mapInArrow(set_rows(size), "node long, marks binary").dropDuplicates(["node"]), "sets")
 
-    # one leader for each frequent shingle and length class
-    classed = heavy.select("token", "node", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)))).alias("cls"), "score")
-    leaders = classed.groupBy("token", "cls").agg(F.max(F.struct("score", "node")).alias("top"))
-    stars = (classed.join(leaders, ["token", "cls"]).where("node <> top.node")
-             .select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b")).distinct())
-    tried = stages.store(pairs.where("shared >= need").select("a", "b").union(stars).distinct(), "tried")
+    tried = stages.store(pairs.where("shared >= need").select("a", "b").distinct(), "tried")
     links = stages.store(verify(tried, sets, percent), "links1")
     found = links
 
     if not heavy.isEmpty():
         root = _roots(links)
-        members = (heavy.join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root", "score"))
+        members = (heavy.drop("n", "score").join(bits.dropDuplicates(["node"]), "node").join(root, "node", "left")
+                   .withColumn("comp", F.coalesce("root", "node")).drop("root"))
         members = stages.store(members, "members")
         mixed = (members.groupBy("token").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .where(F.lit(True) if all_links else F.col("lo") != F.col("hi"))
@@ -400,7 +422,7 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, all_li
         dealt = (members.join(mixed, "token").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("token", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "n",
-                         "ell", "comp", "bitmap"))
+                         "ell", "comp", "bits"))
         between = (dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
                    .mapInArrow(cross(percent, all_links), PAIRS).groupBy("a", "b")
                    .agg(F.count("*").alias("shared"), F.max("ell").alias("need")))
@@ -425,6 +447,11 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, all_li
     return result, named_links
 
 
+def _sifted(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    return (pairs.join(bits.toDF("a", "na", "bits_a"), "a").join(bits.toDF("b", "nb", "bits_b"), "b")
+            .mapInArrow(sift(percent), "a long, b long, shared long, need int"))
+
+
 def _roots(links: DataFrame) -> DataFrame:
     """(node, root) for every node that has a link to a smaller one."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
