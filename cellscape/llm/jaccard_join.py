@@ -65,7 +65,7 @@ def signatures(size: int):
         keep = counts >= LOCAL_HOT
         none = pa.nulls(int(keep.sum()), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [none, pa.array(counts[keep].astype(np.int32)), pa.array(values[keep].view(LONG)), none, none.cast(pa.binary())],
+            [none, pa.array(counts[keep].astype(np.int32)), pa.array(values[keep].view(LONG)), none, pa.nulls(len(none), pa.binary())],
             ["doc_id", "n", "s1", "s2", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
