@@ -152,10 +152,21 @@ def prefixes(size: int, percent: int, hot_tokens, hot_counts):
 
 
 def _bitmap(marks: np.ndarray) -> bytes:
-    """Parity of the shingles in each of 1024 buckets: two sets differ in at least as many elements as bits."""
-    spot = (wh.mix(marks + np.uint64(77)) >> np.uint64(54)).astype(LONG)
-    bits = np.bincount(spot, minlength=64 * BITMAP_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    """Parity of the shingles in each bucket: two sets differ in at least as many elements as bits.
+
+    There are at least as many buckets as shingles, so that long sets are told apart as well as short ones.
+    """
+    width = min(max(64 * BITMAP_WORDS, 1 << (len(marks) - 1).bit_length()), 1 << 20)
+    spot = (wh.mix(marks + np.uint64(77)) & np.uint64(width - 1)).astype(LONG)
+    return np.packbits((np.bincount(spot, minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The parities for fewer buckets."""
+    while len(bits) > words:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits
 
 
 def _table_runs(batches: Iterator[pa.RecordBatch], keys: list[str], limit: int = 1 << 17) -> Iterator[pa.Table]:
@@ -265,7 +276,8 @@ def cross(percent: int, within: bool):
                     y = y[100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])]
                     if not len(y):
                         continue
-                    y = y[_may_link(bits[y], bits[x], n[y], n[x], percent)]
+                    apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=LONG)
+                    y = y[_may_link(apart, n[y].astype(LONG) + n[x], percent)]
                     if len(y):
                         yield _pair_rows(np.full(len(y), node[x]), node[y], np.minimum(ell[x], ell[y]))
 
@@ -273,22 +285,26 @@ def cross(percent: int, within: bool):
 
 
 def _bit_rows(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, BITMAP_WORDS)
+    return np.stack([_folded(np.frombuffer(raw, dtype=np.uint64), BITMAP_WORDS) for raw in column.to_pylist()])
 
 
-def _may_link(bits_a, bits_b, na, nb, percent: int) -> np.ndarray:
-    """False only for pairs below the similarity: a link has (100 + p) * differing <= (100 - p) * (na + nb)."""
-    apart = np.bitwise_count(bits_a ^ bits_b).sum(axis=1, dtype=LONG)
-    return (100 + percent) * apart <= (100 - percent) * (np.asarray(na, LONG) + nb)
+def _may_link(apart: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """False only for pairs below the similarity: of a link's elements, so many at most are in one set alone."""
+    return (100 + percent) * apart <= (100 - percent) * total
 
 
 def sift(percent: int):
+    """The pairs that their bitmaps do not rule out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                keep = _may_link(_bit_rows(batch.column("bits_a")), _bit_rows(batch.column("bits_b")),
-                                 batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
-                yield batch.filter(pa.array(keep)).select(["a", "b", "shared", "need"])
+            apart = np.zeros(batch.num_rows, dtype=LONG)
+            for k, (x, y) in enumerate(zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())):
+                words = min(len(x), len(y)) // 8
+                x, y = _folded(np.frombuffer(x, np.uint64), words), _folded(np.frombuffer(y, np.uint64), words)
+                apart[k] = np.bitwise_count(x ^ y).sum(dtype=LONG)
+            total = batch.column("na").to_numpy().astype(LONG) + batch.column("nb").to_numpy()
+            yield batch.filter(pa.array(_may_link(apart, total, percent))).select(["a", "b", "shared", "need"])
 
     return run
 
@@ -428,8 +444,8 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, all_li
                    .agg(F.count("*").alias("shared"), F.max("ell").alias("need")))
         more = (between.unionByName(pairs.where("shared < need")).groupBy("a", "b")
                 .agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need")
-                .select("a", "b").join(tried, ["a", "b"], "left_anti"))
-        more = stages.store(more, "more")
+                .join(tried, ["a", "b"], "left_anti"))
+        more = stages.store(_sifted(more, bits, percent).select("a", "b"), "more")
         found = links.union(stages.store(verify(more, sets, percent), "links2"))
 
     root = _roots(found)
