@@ -1,9 +1,59 @@
-"""A training-data pipeline: each stage is one operator applied to all its predecessor kept."""
+"""A training-data pipeline: each stage is one operator, applied to all that its predecessor kept."""
 
-STAGES: list = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cellscape.llm import decontamination, jaccard_join, packing, secret_scan, toxicity
+from cellscape.llm.catalog import BPE, table
+from cellscape.llm.stage import Stages
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model does not reject.  The model learns from the labelled ones among them."""
+    graded = toxicity.grade_documents(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, graded.where("rejected").select("doc_id"))
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document with the smallest id."""
+    groups = jaccard_join.similar_components(docs)[0]
+    return _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.select("doc_id"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts replaced by a mark."""
+    return secret_scan.redact(secret_scan.scan(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences and their places."""
+    pieces = packing.pieces_of(docs, public_tokenizers.path(BPE), Stages(spark, "packing"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "local"))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage), ("ngram_jaccard_join", jaccard_stage), ("decontamination", decontamination_stage),
+    ("secret_scan", secrets_stage), ("pattern_packing", packing_stage)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is not in ``gone``; rows without an id stay."""
+    return docs.join(gone.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    stages = Stages(spark, "pipeline")
+    for name, stage in STAGES[:-1]:
+        docs = stages.store(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
