@@ -2,11 +2,13 @@
 
 A byte-level BPE pre-tokenizer always starts a new piece at a single space between two other characters,
 and at both sides of a single line break between two other characters.  Texts are cut there and nowhere
-else, so the ids are those of the whole text.  A run that holds any other white space is encoded as it is.
+else, so the ids are those of the whole text.  A word of letters alone is one piece and goes to the model.  A run that holds any other white space is encoded as it is.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 from tokenizers import Tokenizer
 
@@ -15,13 +17,33 @@ REMEMBERED = 500_000
 LONGEST = 64
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable bytes stand for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+#: Letters up to here are letters for every Unicode version; words of others take the tokenizer's own way.
+_COMMON = "\u0250"
+_SIGNS = {",", "."}
+
+
 class _Memory(dict):
-    def __init__(self, encode, prefix: str):
+    """Ids of words; a word of letters alone is one piece, and a sign after it is another."""
+
+    def __init__(self, owner: Encoder, prefix: str):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.owner, self.prefix = owner, prefix
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(self.prefix + word)
+        if word[-1] in _SIGNS and word[:-1].isalpha() and max(word) < _COMMON:
+            ids = self[word[:-1]] + self.owner.first[word[-1]]
+        elif word.isalpha() and max(word) < _COMMON:
+            ids = self.owner.piece(self.prefix + word)
+        else:
+            ids = self.owner.direct(self.prefix + word)
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -34,10 +56,16 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.first = _Memory(self._direct, "")
-        self.later = _Memory(self._direct, " ")
+        self.model = self.tokenizer.model
+        self.first = _Memory(self, "")
+        self.later = _Memory(self, " ")
+
+    def piece(self, text: str) -> bytes:
+        """Ids of a single pre-tokenizer piece."""
+        letters = text.encode("utf-8").decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
-    def _direct(self, text: str) -> bytes:
+    def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
@@ -64,7 +92,7 @@ class Encoder:
             later = self.later
             out.extend([later[w] for w in words[1:]])
         else:
-            out.append(self._direct(text))
+            out.append(self.direct(text))
 
 
 _encoders: dict[str, Encoder] = {}
