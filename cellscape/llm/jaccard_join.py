@@ -383,12 +383,12 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, all_li
     first = stages.store(plain.mapInArrow(run, schema), "signatures")
     base = first.where("s2 is not null")
     top = (first.where("s2 is null and n is not null").groupBy("s1").agg(F.sum("n").alias("c")).where(F.col("c") >= HOT_ROWS)
-           .orderBy(F.desc("c"), "s1").limit(HOT_SHINGLES).toPandas().sort_values("c", ascending=False))
-    token = top["s1"].to_numpy(dtype=LONG).view(np.uint64)
+           .orderBy(F.desc("c"), "s1").limit(HOT_SHINGLES).toArrow())
+    token = top["s1"].to_numpy().astype(LONG).view(np.uint64)
     order = np.argsort(token)
     context = spark.sparkContext
     hot_tokens = context.broadcast(np.append(token[order], np.uint64(2**64 - 1)))
-    hot_counts = context.broadcast(np.append(top["c"].to_numpy(dtype=float)[order], 0.0))
+    hot_counts = context.broadcast(np.append(top["c"].to_numpy().astype(float)[order], 0.0))
 
     met = stages.store(
         plain.mapInArrow(prefixes(size, percent, hot_tokens, hot_counts), PREFIX)

@@ -224,11 +224,12 @@ def strip_repeats(docs: DataFrame, window: int = 35, broadcast_rows: int = 2 * B
     counts = stages.store(plain.select("text").mapInArrow(count_anchors(window), "anchor long, n long")
                           .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "anchors")
     if counts.count() <= broadcast_rows:
-        known = counts.toPandas()
-        order = np.argsort(known["anchor"].to_numpy(dtype=LONG).view(np.uint64))
-        shared = spark.sparkContext.broadcast((
-            np.append(known["anchor"].to_numpy(dtype=LONG).view(np.uint64)[order], np.uint64(2**64 - 1)),
-            np.append(known["n"].to_numpy(dtype=LONG)[order], 0)))
+        known = counts.toArrow()
+        anchor = known["anchor"].to_numpy().astype(LONG).view(np.uint64)
+        order = np.argsort(anchor)
+        shared = spark.sparkContext.broadcast((np.append(anchor[order], np.uint64(2**64 - 1)),
+                                               np.append(known["n"].to_numpy().astype(LONG)[order], 0)))
+        del known, anchor, order
         found = plain.select("text", "k1", "k2").mapInArrow(suffixes(window, shared), SUFFIX)
     else:
         places = (plain.select("text", "k1", "k2").mapInArrow(_places(window), "k1 long, k2 long, anchor long")

@@ -28,7 +28,7 @@ RATE = 0.1
 SHRINK = 2e-4
 LEAST_ROWS = 5
 #: A feature is used if its count among the graded rows is so many standard deviations from chance.
-DEVIATIONS = 6.0
+DEVIATIONS = 4.0
 LEAST_LIMIT = 0.3
 LONG = np.int64
 
@@ -141,9 +141,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = (labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(F.max("toxic").cast("int").alias("mark")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-            .mapInArrow(feature_rows, "doc_id long, mark int, features binary").toPandas()
-            .sort_values("doc_id", kind="stable"))
-    marks = [np.frombuffer(f, dtype=np.int32) for f in rows["features"]]
+            .mapInArrow(feature_rows, "doc_id long, mark int, features binary").toArrow().sort_by("doc_id"))
+    marks = [np.frombuffer(f.as_buffer(), dtype=np.int32) for f in rows["features"]]
     toxic = (rows["mark"].to_numpy() > 0).astype(LONG)
     held = np.arange(len(marks)) % 5 == 4
     grades = make_grades([m for m, h in zip(marks, held) if not h], toxic[~held])
