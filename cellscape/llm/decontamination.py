@@ -48,16 +48,24 @@ class Items:
             self.length.extend(words.counts().tolist())
             self.shingles.extend(np.unique(marks[a:b]) for a, b in zip(first[:-1], first[1:]))
         self.known = np.unique(np.concatenate([*self.shingles, np.empty(0, np.uint64)]))
+        self.door = np.zeros(1 << 20, dtype=bool)
+        self.door[(self.known >> np.uint64(44)).astype(LONG)] = True
+        self.lengths_of: list[set[int]] = [set() for _ in self.known]
+        for n, own in zip(self.length, self.shingles):
+            for k in np.searchsorted(self.known, own):
+                self.lengths_of[k].add(n)
         self.short = sorted({n for n in self.length if 0 < n < SIZE})
 
 
-def _found(known: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """Places of ``marks`` in ``known``; -1 if absent."""
-    if not len(known):
-        return np.full(len(marks), -1)
-    at = np.searchsorted(known, marks)
-    at[at == len(known)] = 0
-    return np.where(known[at] == marks, at, -1)
+def _found(items: Items, marks: np.ndarray) -> np.ndarray:
+    """Places of ``marks`` among the items' shingles; -1 if absent."""
+    out = np.full(len(marks), -1, dtype=LONG)
+    maybe = np.flatnonzero(items.door[(marks >> np.uint64(44)).astype(LONG)])
+    if len(maybe):
+        at = np.searchsorted(items.known, marks[maybe])
+        at[at == len(items.known)] = 0
+        out[maybe] = np.where(items.known[at] == marks[maybe], at, -1)
+    return out
 
 
 def _marks_of(h: np.ndarray, n: int) -> np.ndarray:
@@ -83,10 +91,10 @@ def regions(items):
             for row, data, bounds in wh.chunks(batch.column("text")):
                 words = wh.scan(data, bounds, wh.WHITE, lower=True)
                 marks, first = wh.shingles(words, SIZE)
-                place = _found(own.known, marks)
+                place = _found(own, marks)
                 some = np.add.reduceat(np.append(place >= 0, False), first[:-1]) > 0 if len(first) > 1 else np.empty(0, bool)
                 some &= np.diff(first) > 0
-                for t in range(len(bounds) - 1):
+                for t in range(len(bounds) - 1) if own.short else np.flatnonzero(some).tolist():
                     h = words.hash[words.first[t]: words.first[t + 1]]
                     hits, kinds = np.empty(0, LONG), np.empty(0, LONG)
                     if some[t]:
@@ -95,7 +103,7 @@ def regions(items):
                         kinds = at[hits]
                     for n in own.short:
                         if len(h) > n or (len(h) == n and n < SIZE and not some[t]):
-                            at = _found(own.known, _marks_of(h, n))
+                            at = _found(own, _marks_of(h, n))
                             hits = np.concatenate([hits, np.flatnonzero(at >= 0)])
                             kinds = np.concatenate([kinds, at[at >= 0]])
                     if not len(hits):
@@ -166,7 +174,7 @@ def match(items, weights, percent: int):
         known_weights, other = weights.value
 
         def weight(marks: np.ndarray) -> np.ndarray:
-            at = _found(own.known, marks)
+            at = _found(own, marks)
             return np.where(at >= 0, known_weights[at] if len(known_weights) else other, other)
 
         lengths: dict[int, list[int]] = {}
@@ -181,7 +189,11 @@ def match(items, weights, percent: int):
                 h = np.frombuffer(raw, dtype=np.uint64)
                 best: dict[int, tuple] = {}
                 long_sums = None
-                for n, table in index.items():
+                # an item that shares no shingle with these words has similarity 0
+                near = {n for m in {len(h), *own.short, SIZE} if 0 < m <= len(h) and (m >= SIZE or m == len(h) or m in own.short)
+                        for k in np.unique(_found(own, _marks_of(h, SIZE if m >= SIZE else m))) if k >= 0 for n in own.lengths_of[k]}
+                for n in sorted(near):
+                    table = index[n]
                     size = min(n, total)
                     if len(h) < size or (n >= SIZE) != (size >= SIZE):
                         continue
@@ -192,7 +204,7 @@ def match(items, weights, percent: int):
                     else:
                         weighted = _signs(marks) * weight(marks)[:, None]
                         sums = np.concatenate([np.zeros((1, 64)), np.cumsum(weighted, axis=0)])
-                        hits = np.concatenate([[0], np.cumsum(_found(own.known, marks) >= 0)])
+                        hits = np.concatenate([[0], np.cumsum(_found(own, marks) >= 0)])
                         if size >= SIZE:
                             long_sums = sums, hits
                     live = np.flatnonzero(hits[span:] > hits[:-span])
