@@ -126,15 +126,15 @@ def centre_distance(cells: DataFrame, centres: DataFrame) -> DataFrame:
     """Distance in km from each cell to its city's centre polygon ``(city, ring)``, 0 inside."""
     edges = ring_segments(centres, ["city"]).groupBy("city").agg(
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))  # the corners of one ring
-    cx, cy, x1, y1, x2, y2 = (F.col(c) for c in ("cx", "cy", "x1", "y1", "x2", "y2"))
-    crossing = ((y1 <= cy) != (y2 <= cy)) & (
-        x1 + (cy - y1) * F.coalesce(F.try_divide(x2 - x1, y2 - y1), F.lit(0.0)) > cx)
+    cx, cy = F.col("cx"), F.col("cy")
+
+    def crosses(e: Column) -> Column:
+        return ((e["y1"] <= cy) != (e["y2"] <= cy)) & (
+            e["x1"] + (cy - e["y1"]) * F.coalesce(F.try_divide(e["x2"] - e["x1"], e["y2"] - e["y1"]), F.lit(0.0)) > cx)
+
+    metres = F.array_min(F.transform("edges", lambda e: g.segment_distance(cx, cy, e["x1"], e["y1"], e["x2"], e["y2"])))
     return (
         join_city_table(cells.select("city", "cell_id", "cx", "cy"), edges)
-        .select("city", "cell_id", "cx", "cy", F.inline("edges"))
-        .groupBy("city", "cell_id")
-        .agg(F.min(g.segment_distance(cx, cy, x1, y1, x2, y2)).alias("metres"),
-             F.sum(crossing.cast("int")).alias("crossings"))
-        .select("city", "cell_id", F.when(F.col("crossings") % 2 == 1, 0.0).otherwise(
-            F.col("metres") / 1000).alias("city_center_distance_km"))
+        .select("city", "cell_id", F.when(F.size(F.filter("edges", crosses)) % 2 == 1, 0.0).otherwise(metres / 1000)
+                .alias("city_center_distance_km"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscape import config
@@ -64,10 +64,15 @@ def has_point_tag(tags: Column) -> Column:
 
 
 def points_of_interest(nodes: DataFrame) -> DataFrame:
-    """Tagged nodes with coordinates, once each, with the two tags the distances use."""
+    """Tagged nodes with coordinates, once each, with the two tags the distances use.
+
+    Of several versions of a node the newest stays, and of equally new ones that with the largest tags text.
+    """
+    newest = [F.desc_nulls_last("timestamp")] if "timestamp" in nodes.columns else []
+    version = F.row_number().over(Window.partitionBy("osmid").orderBy(*newest, F.desc(F.to_json("tags"))))
     return (
         nodes.where(has_point_tag(F.col("tags")) & F.col("lon").isNotNull() & F.col("lat").isNotNull())
-        .dropDuplicates(["osmid"])
+        .withColumn("version", version).where("version = 1").drop("version")
         .withColumns({"amenity": F.try_element_at("tags", F.lit("amenity")),
                       "aeroway": F.try_element_at("tags", F.lit("aeroway"))})
     )
