@@ -31,7 +31,8 @@ from cellscape.llm.jaccard_join import _opens, _table_runs
 from cellscape.llm.stage import BROADCAST_ROWS, Stages, small_batches
 
 ANCHOR = 8
-GROUP = 4096
+#: Suffixes of a group, at 248 bytes each: 8 MB.
+GROUP = 1 << 15
 LONG = np.int64
 COUNTED = 1 << 21
 
