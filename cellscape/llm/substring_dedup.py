@@ -10,7 +10,8 @@ A window is ``window`` consecutive words.  Words covered by a window that also s
 3. In a group, suffixes are sorted by the words that follow (the suffix tree's leaves; common prefixes of
    neighbours are its internal nodes) and by the words before.  A window of ``j`` words before and the rest
    after an anchor is repeated when two suffixes share a node of that depth on both sides.  A prefix as long
-   as a window is itself a deep node, so counting is enough there.
+   as a window is itself a deep node, so counting is enough there; the windows of one such prefix are
+   dealt over as many tasks as its count asks for.
 4. Marks go back to the texts, and covered words are dropped.
 
 Texts that a task has seen before count as repeated whole.  Windows are compared by 32 bits for each of
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from cellscape.llm import wordhash as wh
 from cellscape.llm.jaccard_join import _opens, _table_runs
 from cellscape.llm.stage import BROADCAST_ROWS, Stages, small_batches
+from cellscape.operators.skew import join_counted
 
 ANCHOR = 8
 #: Suffixes of a group, at 248 bytes each: 8 MB.
@@ -242,9 +244,10 @@ def strip_repeats(docs: DataFrame, window: int = 35, broadcast_rows: int = 2 * B
     tree = (found.where("not deep").select("key", "k1", "k2", "pos", "words", "around").repartition("key").sortWithinPartitions("key")
             .mapInArrow(repeats(window), "k1 long, k2 long, pos int, mask long"))
     deep = found.where("deep and pos >= 0").select("key", "k1", "k2", "pos")
-    often = deep.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    often = stages.store(deep.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    shown = join_counted(deep, often, ["key"], "n", GROUP)
     whole = found.where("pos < 0").select("k1", "k2", F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("mask"))
-    marks = (tree.unionByName(deep.join(often, "key").select("k1", "k2", "pos", F.lit(1).cast("long").alias("mask")))
+    marks = (tree.unionByName(shown.select("k1", "k2", "pos", F.lit(1).cast("long").alias("mask")))
              .unionByName(whole).dropDuplicates().groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "mask")).alias("marks")))
     marks = stages.store(marks, "marks")
     return plain.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "marks").mapInArrow(
