@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellscape.llm.encoder import encoder
-from cellscape.llm.stage import small_batches
+from cellscape.llm.stage import BROADCAST_ROWS, small_batches
 
 BLOCK = 1024
 PERCENTILE = 95
@@ -154,7 +154,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ["doc_id", "start", "n_tokens", "ids"])
 
 
-def read_files(spark: SparkSession, folder: str) -> DataFrame:
+def read_files(spark: SparkSession, folder: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` from the files; ``ids`` are little-endian unsigned 32-bit integers."""
     segments = spark.read.schema(SEGMENTS).parquet(folder)
     # one row for each shard, that is for each task that wrote; then a sum inside each shard
@@ -163,5 +163,8 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     inside = segments.select("shard", "segment", (F.sum("n_values").over(
         Window.partitionBy("shard").orderBy("segment")) - F.col("n_values")).alias("inside"))
     starts = inside.join(before, "shard").select("shard", "segment", (F.col("inside") + F.col("shard_before")).alias("before"))
+    # the bodies stay where they are while the table of starts, three numbers a segment, is small
+    if segments.count() <= broadcast_rows:
+        starts = F.broadcast(starts)
     return (segments.join(starts, ["shard", "segment"]).select("doc_ids", "lengths", "body", "before")
             .mapInArrow(_read, "doc_id long, start long, n_tokens long, ids binary"))

@@ -148,6 +148,8 @@ def test_token_files(spark, table):
     token_files.write_files(table, BPE, folder)
     got = token_files.read_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids")).collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+    shuffled = token_files.read_files(spark, folder, broadcast_rows=0).select("doc_id", "start", "n_tokens", F.crc32("ids")).collect()
+    assert sorted(map(tuple, shuffled), key=lambda r: r[1]) == want
 
 
 @pytest.mark.parametrize("values", [[], [5], [0, 2**32 - 1, 7], list(range(3000)), [9] * 1024, [1] * 1000 + [70000] * 40])
