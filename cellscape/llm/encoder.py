@@ -86,11 +86,10 @@ class Encoder:
         return b"".join(out)
 
     def _run(self, text: str, out: list[bytes]) -> None:
-        words = text.split(" ")
-        if words == text.split():
+        words = text.split()
+        if words and " ".join(words) == text:
             out.append(self.first[words[0]])
-            later = self.later
-            out.extend([later[w] for w in words[1:]])
+            out.extend(map(self.later.__getitem__, words[1:]))
         else:
             out.append(self.direct(text))
 
