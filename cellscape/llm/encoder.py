@@ -7,12 +7,14 @@ else, so the ids are those of the whole text.  A word of letters alone is one pi
 
 from __future__ import annotations
 
+import re
 from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words remembered by a worker; a full memory starts anew.  It bounds space and changes no id.
+#: Words remembered by a worker, in two generations: when the newer is full, it replaces the older.
+#: It bounds space and changes no id.
 REMEMBERED = 500_000
 LONGEST = 64
 
@@ -27,25 +29,45 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 #: Letters up to here are letters for every Unicode version; words of others take the tokenizer's own way.
 _COMMON = "\u0250"
-_SIGNS = {",", "."}
+#: The pre-tokenizer's pieces of an ASCII word, the space before it included.
+_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
+#: Special tokens start with this sign; they are cut out before pre-tokenizing.
+_SPECIAL = "<"
 
 
 class _Memory(dict):
-    """Ids of words; a word of letters alone is one piece, and a sign after it is another."""
+    """Ids of words; a word of letters alone is one piece, other ASCII words are joined from their pieces."""
 
     def __init__(self, owner: Encoder, prefix: str):
         super().__init__()
         self.owner, self.prefix = owner, prefix
+        self.mark = _LETTERS[32] if prefix else ""
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1] in _SIGNS and word[:-1].isalpha() and max(word) < _COMMON:
-            ids = self[word[:-1]] + self.owner.first[word[-1]]
-        elif word.isalpha() and max(word) < _COMMON:
-            ids = self.owner.piece(self.prefix + word)
+        owner = self.owner
+        if word in self.older:
+            ids = self.older[word]
+        elif word.isascii():
+            if word.isalpha():
+                ids = owner.ids(self.mark + word)
+            elif _SPECIAL in word:
+                ids = owner.direct(self.prefix + word)
+            else:
+                pieces = _PIECES.findall(self.prefix + word)
+                if len(pieces) == 1:
+                    ids = owner.piece(pieces[0])
+                else:
+                    ids = b"".join([owner.later[p[1:]] if p[0] == " " else owner.first[p] for p in pieces])
+        elif max(word) < _COMMON and word.isalpha():
+            ids = owner.piece(self.prefix + word)
+        elif word[-1] in ",." and max(word) < _COMMON and word[:-1].isalpha():
+            ids = self[word[:-1]] + owner.first[word[-1]]
         else:
-            ids = self.owner.direct(self.prefix + word)
+            ids = owner.direct(self.prefix + word)
         if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -60,10 +82,13 @@ class Encoder:
         self.first = _Memory(self, "")
         self.later = _Memory(self, " ")
 
+    def ids(self, letters: str) -> bytes:
+        """Ids of a single pre-tokenizer piece in the letters of its bytes."""
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def piece(self, text: str) -> bytes:
         """Ids of a single pre-tokenizer piece."""
-        letters = text.encode("utf-8").decode("latin-1").translate(_LETTERS)
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return self.ids(text.encode("utf-8").decode("latin-1").translate(_LETTERS))
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
