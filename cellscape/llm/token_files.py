@@ -29,6 +29,34 @@ SEGMENT = 1 << 18
 MAGIC = b"PFR1"
 
 
+def _pack(values: np.ndarray, w: int) -> np.ndarray:
+    """Rows of ``BLOCK`` values as bytes, ``w`` bits a value from the lowest bit on; 64 values fill ``w`` words."""
+    columns = np.ascontiguousarray(values.reshape(len(values) * (BLOCK // 64), 64).T).astype(np.uint64)
+    if w < 32:
+        columns &= np.uint64((1 << w) - 1)
+    words = np.zeros((w, columns.shape[1]), dtype=np.uint64)
+    for i in range(64):
+        word, shift = divmod(i * w, 64)
+        words[word] |= columns[i] << np.uint64(shift)
+        if shift + w > 64:
+            words[word + 1] |= columns[i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T).astype("<u8").view(np.uint8).reshape(len(values), BLOCK * w // 8)
+
+
+def _unpack(lines: np.ndarray, w: int) -> np.ndarray:
+    """The rows of values that ``_pack`` made bytes of."""
+    words = np.ascontiguousarray(lines.view("<u8").reshape(-1, w).T)
+    out = np.empty((64, words.shape[1]), dtype=np.uint32)
+    mask = np.uint64((1 << w) - 1)
+    for i in range(64):
+        word, shift = divmod(i * w, 64)
+        value = words[word] >> np.uint64(shift)
+        if shift + w > 64:
+            value |= words[word + 1] << np.uint64(64 - shift)
+        out[i] = value & mask
+    return np.ascontiguousarray(out.T).reshape(len(lines), BLOCK)
+
+
 def pack_body(values: np.ndarray) -> bytes:
     """The blocks of some 32-bit values."""
     n = len(values)
@@ -46,9 +74,7 @@ def pack_body(values: np.ndarray) -> bytes:
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
         if w:
-            bits = (above[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-            lines = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
-            for r, line in zip(rows, lines):
+            for r, line in zip(rows, _pack(above[rows], int(w))):
                 packed[r] = line.tobytes()
     odd_row, odd_place = np.nonzero(above >= (np.uint64(1) << width.astype(np.uint64))[:, None])
     edges = np.searchsorted(odd_row, np.arange(blocks + 1))
@@ -76,11 +102,9 @@ def unpack_body(body: bytes) -> np.ndarray:
     for w in np.unique(widths):
         rows = np.flatnonzero(widths == w)
         if w:
-            lines = raw[(starts[rows] + 7)[:, None] + np.arange(BLOCK * w // 8)]
-            bits = np.unpackbits(lines, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-            word = np.zeros((len(rows), BLOCK, 32), dtype=np.uint8)
-            word[:, :, :w] = bits
-            out[rows] = np.packbits(word, axis=2, bitorder="little").view("<u4")[:, :, 0]
+            size = BLOCK * int(w) // 8
+            lines = np.stack([raw[at: at + size] for at in starts[rows] + 7])
+            out[rows] = _unpack(lines, int(w))
     for b in range(blocks):
         at = int(starts[b])
         odd = int.from_bytes(body[at + 5: at + 7], "little")
