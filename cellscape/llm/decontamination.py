@@ -1,16 +1,17 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination by the weighted Jaccard similarity of item-sized windows, exact.
 
 1. One pass over the documents finds places of shingles that some item has (a window without any has
    similarity 0) and keeps the words around them; the same pass counts in how many documents each item
    shingle occurs.
-2. Windows as long as an item, over those words, get a 64-bit SimHash of their weighted shingles.  The
-   fingerprints of the items are indexed by 8 blocks of 8 bits; two fingerprints within ``RADIUS`` bits
-   agree in one block up to RADIUS // 8 bits (multi-index hashing: Norouzi, Punjani and Fleet, 2012), so
-   looking up each block and its neighbours finds them all.
-3. Candidates are verified by the weighted Jaccard similarity of their shingles.
-
-A shingle weighs log(1 + N / (1 + df)), df being the documents that have it; one that no item has counts as
-df 1.  Documents and items are lower-cased (A-Z) and split at ASCII white space.
+2. A window at the threshold t shares at least t times the weight of the item with it.  Words around places
+   that share less with every item go.
+3. A second pass over the documents counts in how many of them each other shingle of the words left occurs.  A
+   bitmap of those shingles keeps the rest of the documents out of the shuffle; the counts are joined back.
+4. All windows as long as an item, over the words left, are compared with the items that step 2 left there,
+   by running sums.  A shingle counts once in a window, at its first place, as in the item.
+
+A shingle weighs log(1 + N / (1 + df)), df being the documents that have it.  Weights are whole multiples of
+2**-36, so that running sums are exact.  Documents and items are lower-cased (A-Z) and split at ASCII white space.
 """
 
 from __future__ import annotations
@@ -25,14 +26,18 @@ from pyspark.sql import functions as F
 
 from cellscape.llm import wordhash as wh
 from cellscape.llm.stage import Stages, small_batches
+from cellscape.operators.skew import join_counted
 
 SIZE = 5
-RADIUS = 18
-BLOCKS = 8
+#: Weights are multiples of 1 / SCALE.
+SCALE = 1 << 36
+#: Size of the bitmap of shingles to be counted.
+FILTER_BITS = 26
+#: More rows of one shingle than this are dealt over several tasks.
+HOT_ROWS = 1_000
 #: Items are taken in blocks of about so many characters, each broadcast in turn.
 BLOCK_CHARS = 32_000_000
 LONG = np.int64
-_FLIPS = np.array([v for v in range(256) if bin(v).count("1") <= RADIUS // BLOCKS], dtype=np.uint8)
 
 
 class Items:
@@ -50,10 +55,11 @@ class Items:
         self.known = np.unique(np.concatenate([*self.shingles, np.empty(0, np.uint64)]))
         self.door = np.zeros(1 << 20, dtype=bool)
         self.door[(self.known >> np.uint64(44)).astype(LONG)] = True
-        self.lengths_of: list[set[int]] = [set() for _ in self.known]
-        for n, own in zip(self.length, self.shingles):
-            for k in np.searchsorted(self.known, own):
-                self.lengths_of[k].add(n)
+        self.places = [np.searchsorted(self.known, own) for own in self.shingles]
+        #: The items that have shingle ``k`` are ``holders[holder[k]: holder[k + 1]]``.
+        of = np.concatenate([*self.places, np.empty(0, LONG)]).astype(LONG)
+        self.holders = np.repeat(np.arange(len(self.ids)), [len(x) for x in self.places])[np.argsort(of, kind="stable")]
+        self.holder = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(self.known)))]).astype(LONG)
         self.short = sorted({n for n in self.length if 0 < n < SIZE})
 
 
@@ -127,99 +133,176 @@ def _region_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       ["doc_id", "doc_words", "start", "words", "shingle", "n"])
 
 
-def _signs(marks: np.ndarray) -> np.ndarray:
-    bits = (wh.mix(marks ^ np.uint64(0x2545F4914F6CDD1D))[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-    return bits.astype(np.float64) * 2 - 1
+def _weight(number: int, df: np.ndarray) -> np.ndarray:
+    return np.rint(np.log1p(number / (1 + df)) * SCALE).astype(LONG)
 
 
-def _fingerprints(sums: np.ndarray) -> np.ndarray:
-    return np.packbits(sums > 0, axis=1).view(np.uint64)[:, 0]
+def _previous(marks: np.ndarray) -> np.ndarray:
+    """The place before each where the same shingle stands; -1 at its first."""
+    order = np.argsort(marks, kind="stable")
+    out = np.full(len(marks), -1, dtype=LONG)
+    same = marks[order[1:]] == marks[order[:-1]]
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
+def _window_sums(values: np.ndarray, previous: np.ndarray, span: int) -> np.ndarray:
+    """Sum of ``values`` over each ``span`` neighbours, a repeated shingle only at its first place in them."""
+    sums = np.concatenate([[0], np.cumsum(values)])
+    change = np.zeros(len(values) + 2, dtype=LONG)
+    again = np.flatnonzero((previous >= 0) & (np.arange(len(values)) - previous < span))
+    # the windows that hold both places start from again - span + 1 to previous
+    np.subtract.at(change, np.maximum(again - span + 1, 0), values[again])
+    np.add.at(change, previous[again] + 1, values[again])
+    return sums[span:] - sums[:-span] + np.cumsum(change)[: len(values) - span + 1]
+
+
+def _near(own: Items, weights: np.ndarray, totals: np.ndarray, h: np.ndarray, total: int, percent: int) -> Iterator[tuple]:
+    """Items that share enough with words ``h`` of a document of ``total`` words.
 
+    Yields (item, marks, places, words of a window, shingles of a window, first and last start of a window).
+    """
+    for m in sorted({*own.short, SIZE}):
+        if len(h) < m:
+            continue
+        marks = _marks_of(h, m)
+        places = _found(own, marks)
+        at = np.flatnonzero(places >= 0)
+        at = at[np.argsort(places[at], kind="stable")]
+        kinds, first = np.unique(places[at], return_index=True)
+        if not len(kinds):
+            continue
+        size = own.holder[kinds + 1] - own.holder[kinds]
+        items = own.holders[np.arange(size.sum()) + np.repeat(own.holder[kinds] - np.cumsum(size) + size, size)]
+        which = np.repeat(np.arange(len(kinds)), size)
+        order = np.argsort(items, kind="stable")
+        items, which = items[order], which[order]
+        edges = np.concatenate([np.flatnonzero(np.diff(items, prepend=-1)), [len(items)]])
+        shared = np.add.reduceat(weights[kinds[which]], edges[:-1])
+        last = np.append(first[1:], len(at))
+        least = totals * (percent / 100 * (1 - 1e-12))
+        for e in np.flatnonzero(shared >= least[items[edges[:-1]]]):
+            k = int(items[edges[e]])
+            n = min(own.length[k], total)
+            if len(h) < n or min(own.length[k], SIZE) != m or min(n, SIZE) != m:
+                continue
+            span = n - m + 1
+            hits = np.sort(np.concatenate([at[first[w]: last[w]] for w in which[edges[e]: edges[e + 1]]]))
+            cut = np.flatnonzero(np.diff(hits) >= span)
+            for lo, hi in zip(np.append(0, cut + 1), np.append(cut, len(hits) - 1)):
+                if weights[np.unique(places[hits[lo: hi + 1]])].sum() >= least[k]:
+                    a, b = max(0, int(hits[lo]) - span + 1), min(int(hits[hi]), len(marks) - span)
+                    if a <= b:
+                        yield k, marks, places, n, span, a, b
+
+
+REGION_COLUMNS = ("doc_id", "doc_words", "start", "words")
+CANDIDATE = "doc_id long, doc_words int, start int, words binary, marks array<long>"
+
+
+def _totals(own: Items, weights: np.ndarray) -> np.ndarray:
+    return np.array([weights[p].sum() for p in own.places], dtype=LONG)
+
+
+def candidates(items, weights, percent: int):
+    """The regions that share enough with an item, and the shingles of their windows that no item has."""
 
-class Index:
-    """Fingerprints of the items of one length, by blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known = items.value, weights.value
+        totals = _totals(own, known)
+        for batch in batches:
+            rows: list[tuple] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in REGION_COLUMNS)):
+                asked = None
+                for _, marks, places, _, span, a, b in _near(own, known, totals, np.frombuffer(row[3], dtype=np.uint64), row[1], percent):
+                    if asked is None:
+                        asked = {}
+                    # all spans but those of short items are over the same marks; one shingle has no other
+                    if span > 1:
+                        asked.setdefault(0, (marks, np.zeros(len(marks) + 1, dtype=LONG), places))[1][[a, b + span]] += (1, -1)
+                if asked is not None:
+                    others = [np.unique(m[(np.cumsum(c)[:-1] > 0) & (p < 0)]) for m, c, p in asked.values()]
+                    rows.append((*row, np.concatenate([*others, np.empty(0, np.uint64)]).view(LONG)))
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+            columns = list(zip(*rows)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*REGION_COLUMNS, "marks"])
 
-    def __init__(self, items: Items, members: list[int], weight):
-        self.members = np.array(members)
-        self.prints = _fingerprints(np.stack(
-            [(_signs(items.shingles[m]) * weight(items.shingles[m])[:, None]).sum(axis=0) for m in members]))
-        self.blocks = self.prints.view(np.uint8).reshape(-1, BLOCKS)
-        self.order = [np.argsort(self.blocks[:, b], kind="stable") for b in range(BLOCKS)]
-        self.edges = [np.searchsorted(self.blocks[o, b], np.arange(257)) for b, o in enumerate(self.order)]
+    return run
 
-    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (window, item) within the radius."""
-        which, item = [], []
-        for b in range(BLOCKS):
-            value = prints.view(np.uint8).reshape(-1, BLOCKS)[:, b][:, None] ^ _FLIPS
-            lo, hi = self.edges[b][value].ravel(), self.edges[b][value.astype(LONG) + 1].ravel()
-            size = hi - lo
-            window = np.repeat(np.repeat(np.arange(len(prints)), len(_FLIPS)), size)
-            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
-            which.append(window)
-            item.append(self.order[b][place])
-        pairs = np.unique(np.stack([np.concatenate(which), np.concatenate(item)]), axis=1)
-        close = np.bitwise_count(prints[pairs[0]] ^ self.prints[pairs[1]]) <= RADIUS
-        return pairs[0][close], self.members[pairs[1][close]]
+
+def frequencies(bitmap):
+    """``(mark, n)``: in how many documents of a piece of the task each shingle of the bitmap stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: np.ndarray = bitmap.value
+        for batch in batches:
+            for _, data, bounds in wh.chunks(batch.column("text")):
+                marks, first = wh.shingles(wh.scan(data, bounds, wh.WHITE, lower=True), SIZE)
+                slot = marks & np.uint64((1 << FILTER_BITS) - 1)
+                at = np.flatnonzero((bits[(slot >> np.uint64(6)).astype(LONG)] >> (slot & np.uint64(63))) & np.uint64(1))
+                text = np.searchsorted(first, at, side="right")
+                marks = marks[at]
+                order = np.lexsort((text, marks))
+                marks, text = marks[order], text[order]
+                new = np.ones(len(marks), dtype=bool)
+                new[1:] = (marks[1:] != marks[:-1]) | (text[1:] != text[:-1])
+                value, n = np.unique(marks[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(LONG)), pa.array(n, pa.int64())], ["mark", "n"])
+
+    return run
+
+
+def _counted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(block, region, others, dfs)``: the shingles of ``wanted(block, region, mark)`` that more than one document has."""
+    spark = docs.sparkSession
+    slot = F.col("mark").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 AS int))")
+    words = (wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(bit).alias("bits"))).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    bits[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    df = (docs.mapInArrow(frequencies(spark.sparkContext.broadcast(bits)), "mark long, n long")
+          .groupBy("mark").agg(F.sum("n").alias("df")).where("df > 1"))
+    rows = wanted.groupBy("mark").agg(F.count("*").alias("rows"))
+    return (join_counted(wanted, rows.join(df, "mark"), ["mark"], "rows", HOT_ROWS)
+            .groupBy("block", "region").agg(F.collect_list(F.struct("mark", "df")).alias("m"))
+            .select("block", "region", F.col("m.mark").alias("others"), F.col("m.df").alias("dfs")))
 
 
 MATCH = "doc_id long, item_id long, start int, n_words int, similarity double"
 
 
-def match(items, weights, percent: int):
-    """Verified windows of the regions."""
+def match(items, weights, number: int, percent: int):
+    """The best window of each region for each item, from the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Items = items.value
-        known_weights, other = weights.value
-
-        def weight(marks: np.ndarray) -> np.ndarray:
-            at = _found(own, marks)
-            return np.where(at >= 0, known_weights[at] if len(known_weights) else other, other)
-
-        lengths: dict[int, list[int]] = {}
-        for k, n in enumerate(own.length):
-            if n:
-                lengths.setdefault(n, []).append(k)
-        index = {n: Index(own, members, weight) for n, members in lengths.items()}
-        own_weight = [weight(s) for s in own.shingles]
+        own, known = items.value, weights.value
+        totals = _totals(own, known)
         for batch in batches:
             out: list[tuple] = []
-            for doc, total, start, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "doc_words", "start", "words"))):
-                h = np.frombuffer(raw, dtype=np.uint64)
+            for doc, total, start, raw, others, dfs in zip(*(batch.column(c).to_pylist() for c in (*REGION_COLUMNS, "others", "dfs"))):
                 best: dict[int, tuple] = {}
-                long_sums = None
-                # an item that shares no shingle with these words has similarity 0
-                near = {n for m in {len(h), *own.short, SIZE} if 0 < m <= len(h) and (m >= SIZE or m == len(h) or m in own.short)
-                        for k in np.unique(_found(own, _marks_of(h, SIZE if m >= SIZE else m))) if k >= 0 for n in own.lengths_of[k]}
-                for n in sorted(near):
-                    table = index[n]
-                    size = min(n, total)
-                    if len(h) < size or (n >= SIZE) != (size >= SIZE):
-                        continue
-                    marks = _marks_of(h, size)
-                    span = max(1, size - SIZE + 1) if size >= SIZE else 1
-                    if size >= SIZE and long_sums is not None:
-                        sums, hits = long_sums
-                    else:
-                        weighted = _signs(marks) * weight(marks)[:, None]
-                        sums = np.concatenate([np.zeros((1, 64)), np.cumsum(weighted, axis=0)])
-                        hits = np.concatenate([[0], np.cumsum(_found(own, marks) >= 0)])
-                        if size >= SIZE:
-                            long_sums = sums, hits
-                    live = np.flatnonzero(hits[span:] > hits[:-span])
-                    if not len(live):
-                        continue
-                    prints = _fingerprints(sums[live + span] - sums[live])
-                    for w, k in zip(*table.near(prints)):
-                        a = int(live[w])
-                        mine = np.unique(marks[a: a + span])
-                        both = np.intersect1d(mine, own.shingles[k], assume_unique=True)
-                        shared = float(weight(both).sum())
-                        similarity = shared / (float(weight(mine).sum()) + float(own_weight[k].sum()) - shared)
-                        if similarity * 100 >= percent - 1e-9:
-                            row = (round(similarity, 9), -(start + a), size)
-                            best[k] = max(best.get(k, row), row)
+                held = None
+                for k, marks, places, n, span, a, b in _near(own, known, totals, np.frombuffer(raw, dtype=np.uint64), total, percent):
+                    if held is None or held[0] is not marks:
+                        value = np.full(len(marks), _weight(number, np.ones(1))[0])
+                        value[places >= 0] = known[places[places >= 0]]
+                        if others:
+                            mark = np.array(others, dtype=LONG).view(np.uint64)
+                            order = np.argsort(mark)
+                            mark, df = mark[order], np.array(dfs)[order]
+                            at = np.minimum(np.searchsorted(mark, marks), len(mark) - 1)
+                            some = (places < 0) & (mark[at] == marks)
+                            value[some] = _weight(number, df[at[some]])
+                        held = marks, value, _previous(marks)
+                    part = slice(a, b + span)
+                    value, previous = held[1][part], held[2][part] - a
+                    mine = _window_sums(value, previous, span)
+                    both = _window_sums(np.where(np.isin(places[part], own.places[k]), value, 0), previous, span)
+                    similarity = np.round(both / (mine + totals[k] - both), 9)
+                    w = int(np.argmax(similarity))
+                    if both[w] / (mine[w] + totals[k] - both[w]) * 100 >= percent - 1e-9:
+                        row = (float(similarity[w]), -(start + a + w), n)
+                        best[k] = max(best.get(k, row), row)
                 out.extend((doc, own.ids[k], -at, size, s) for k, (s, at, size) in best.items())
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
             columns = list(zip(*out)) or [()] * 5
@@ -243,7 +326,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, block
     number = docs.count()
     asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = max(1, -(-int(asked.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
-    parts = []
+    found = []
     for b in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         items = Items([(r["item_id"], r["text"]) for r in rows])
@@ -252,8 +335,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, block
         df = np.zeros(len(items.known))
         for r in near.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n")).collect():
             df[r["shingle"]] = r["n"]
-        weights = spark.sparkContext.broadcast((np.log1p(number / (1 + df)), float(np.log1p(number / 2))))
-        parts.append(near.where("words is not null").mapInArrow(match(shared, weights, percent), MATCH))
+        weights = spark.sparkContext.broadcast(_weight(number, df))
+        left = near.where("words is not null").mapInArrow(candidates(shared, weights, percent), CANDIDATE)
+        left = stages.store(left.withColumns({"block": F.lit(b), "region": F.monotonically_increasing_id()}), f"candidates{b}")
+        found.append((shared, weights, left))
+    wanted = reduce(DataFrame.union, [left.select("block", "region", F.explode("marks").alias("mark")) for _, _, left in found])
+    counts = stages.store(_counted(plain, wanted), "counts")
+    parts = [left.drop("marks").join(counts, ["block", "region"], "left").select(*REGION_COLUMNS, "others", "dfs")
+             .mapInArrow(match(shared, weights, number, percent), MATCH) for shared, weights, left in found]
     best = reduce(DataFrame.union, parts).groupBy("doc_id", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("at"), "n_words")).alias("m"))
     return best.select("doc_id", "item_id", (-F.col("m.at")).alias("start"), F.col("m.n_words").alias("n_words"),

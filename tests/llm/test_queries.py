@@ -317,6 +317,41 @@ def test_decontamination_odd(odd, spark):
     assert decontamination.contaminated(odd, bench.where("false")).count() == 0
 
 
+def best_windows(rows, items):
+    """Similarity of the best window by brute force, each shingle weighed by all documents that have it."""
+    words = [(d, t.split()) for d, t in rows]
+    have = Counter(s for _, w in words for s in shingle_set(w))
+    weight = lambda s: float(np.log1p(len(rows) / (1 + have[s])))
+    out = {}
+    for k, text in items:
+        item = text.split()
+        own = shingle_set(item)
+        for d, w in words:
+            n = min(len(item), len(w))
+            if own & shingle_set(w):
+                best = max(similarity(shingle_set(w[i: i + n]), own, weight) for i in range(len(w) - n + 1))
+                if best >= 0.8:
+                    out[(d, k)] = round(best, 6)
+    return out
+
+
+def found_windows(spark, rows, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = decontamination.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {(r["doc_id"], r["item_id"]): round(r["similarity"], 6) for r in got}
+
+
+def test_decontamination_popular_edit(spark):
+    """Shingles of an edited passage weigh by all documents that have them, not as if one document did."""
+    item = [f"i{k}" for k in range(59)]
+    edited = item[:3] + ["edit"] + item[4:]
+    rows = [(d, f"a{d} " + " ".join(item if d < 200 else edited) + f" b{d}") for d in range(400)] + [(d, f"filler {d}") for d in range(400, 2000)]
+    items = [(1, " ".join(item))]
+    want = best_windows(rows, items)
+    assert len(want) == 400
+    assert found_windows(spark, rows, items) == want
+
+
 def test_toxicity_held_out(spark):
     """Accuracy on labelled documents that the model has not seen."""
     base = "/root/testdata/sf0.1"
