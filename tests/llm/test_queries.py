@@ -352,6 +352,16 @@ def test_decontamination_popular_edit(spark):
     assert found_windows(spark, rows, items) == want
 
 
+def test_decontamination_repetitive_items(spark):
+    """A shingle that stands several times in an item or a window counts once on both sides."""
+    items = [(k, " ".join([f"i{k}x{j}" for j in range(12)] + [f"na{k}"] * 14 + [f"i{k}y{j}" for j in range(12)])) for k in range(20)]
+    rows = [(k, f"before {t} after") for k, t in items] + [(100 + k, f"na{k} " * 9 + t + f" na{k}" * 40) for k, t in items]
+    rows += [(200 + k, t.replace(f"na{k} " * 4, "", 1)) for k, t in items]
+    want = best_windows(rows, items)
+    assert len(want) == 60
+    assert found_windows(spark, rows, items) == want
+
+
 def test_toxicity_held_out(spark):
     """Accuracy on labelled documents that the model has not seen."""
     base = "/root/testdata/sf0.1"
