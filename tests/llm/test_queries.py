@@ -362,6 +362,22 @@ def test_decontamination_repetitive_items(spark):
     assert found_windows(spark, rows, items) == want
 
 
+def test_decontamination_recall_of_popular_edits(spark):
+    """Every edited copy of passages that many documents share is found, as by brute force."""
+    rng = np.random.default_rng(8)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(60))) for k in range(6)]
+    rows = [(d, f"filler {d}") for d in range(2000)]
+    for k, t in items:
+        for c in range(250):
+            words = t.split()
+            for at in rng.choice(60, size=c % 3, replace=False):
+                words[at] = f"e{k}c{c}a{at}"
+            rows.append((10_000 + 1000 * k + c, f"a{k}c{c} b " + " ".join(words) + f" c{k}c{c}"))
+    want = best_windows(rows, items)
+    assert any(s < 0.85 for s in want.values()) and len(want) > 500
+    assert found_windows(spark, rows, items) == want
+
+
 def test_toxicity_held_out(spark):
     """Accuracy on labelled documents that the model has not seen."""
     base = "/root/testdata/sf0.1"
