@@ -11,22 +11,29 @@ from cellscape.llm.catalog import BPE, table
 from cellscape.llm.stage import Stages
 
 
+KEY = "_row"
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model does not reject.  The model learns from the labelled ones among them."""
-    graded = toxicity.grade_documents(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, graded.where("rejected").select("doc_id"))
+    """Rows that the model does not reject.  The model learns from the labelled ones among them."""
+    rows = _keyed(spark, docs, "toxicity")
+    graded = toxicity.score(_by_key(rows), toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return _without(docs, rows, graded.where("rejected"))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id."""
-    groups = jaccard_join.similar_components(docs)[0]
-    return _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    """Of each group of near duplicates, one row with the smallest id; one without an id only if none has an id."""
+    rows = _keyed(spark, docs, "ngram-jaccard-join")
+    groups = jaccard_join.similar_components(_by_key(rows))[0].select(F.col("doc_id").alias(KEY), "component_id")
+    groups = groups.join(rows.select(KEY, F.col("doc_id").cast("long").alias("id")), KEY)
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", KEY)).alias("first"))
+    return rows.join(first.select(F.col(f"first.{KEY}").alias(KEY)), KEY, "left_semi").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select("doc_id"))
+    """Rows without a passage of the benchmark."""
+    rows = _keyed(spark, docs, "decontamination")
+    return _without(docs, rows, decontamination.contaminated(_by_key(rows), table(spark, sf_dir, "benchmark")))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +53,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is not in ``gone``; rows without an id stay."""
-    return docs.join(gone.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(docs.columns)
+def _keyed(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a unique number for each row, stored so that it stays the same."""
+    return Stages(spark, f"pipeline-{name}").store(docs.withColumn(KEY, F.monotonically_increasing_id()), "rows")
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
+    """What an operator gets: its decisions are for single rows, whatever their ``doc_id``."""
+    return rows.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def _without(docs: DataFrame, rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` whose number is not a ``doc_id`` in ``gone``, with the columns of ``docs``."""
+    return rows.join(gone.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti").select(docs.columns)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

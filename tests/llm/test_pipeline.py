@@ -21,3 +21,34 @@ def test_stages(spark, sf):
     assert ids[4] == ids[3]
     final = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in final} == ids[4]
+
+
+def test_stages_decide_by_row(spark, sf):
+    """Null and repeated ids: each row goes or stays by its own text, one row of each group stays."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first()["text"]
+    line = lambda tag: " ".join(f"{tag}{k}" for k in range(60))
+    texts = lambda df: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in df.collect())
+
+    def made(*rows):
+        return spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], docs.schema).repartition(3)
+
+    copies = made((1, line("a")), (1, line("a")), (1, line("a")), (None, line("a")), (None, line("b")), (None, line("b")),
+                  (5, line("c")), (2, line("c")), (5, line("d")), (7, line("e")), (7, line("e") + " more"))
+    got = texts(corpus_pipeline.jaccard_stage(spark, copies, sf))
+    assert [(none, d, t.split()[0]) for none, d, t in got] == [
+        (False, 1, "a0"), (False, 2, "c0"), (False, 5, "d0"), (False, 7, "e0"), (True, 0, "b0")]
+
+    leaks = made((None, "x " + item), (None, line("a")), (3, line("b")), (3, item + " y"), (4, item))
+    assert [t.split()[0] for _, _, t in texts(corpus_pipeline.decontamination_stage(spark, leaks, sf))] == ["b0", "a0"]
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    graded = corpus_pipeline.toxicity.grade_documents(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    bad = graded.where("expected_severity > 0").orderBy("rejected", "expected_severity").tail(1)[0]
+    assert bad["rejected"]
+    toxic = docs.where(docs.doc_id == bad["doc_id"]).first()["text"]
+    # the other ids have no label, so that the model is the same
+    odd = docs.unionByName(made((None, toxic), (-1, toxic), (-1, "a clean line of words"), (None, "another clean line")))
+    kept = [t for _, _, t in texts(corpus_pipeline.toxicity_stage(spark, odd, sf))]
+    assert toxic not in kept and {"a clean line of words", "another clean line"} <= set(kept)
