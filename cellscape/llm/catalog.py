@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscape.llm import (
-    decontamination, exact_topk, html_text, jaccard_join, license_scan, packing, secret_scan, substring_dedup, token_files, toxicity)
+    decontamination, exact_topk, fingerprints, html_text, jaccard_join, license_scan, packing, secret_scan, substring_dedup, token_files, toxicity)
 from cellscape.llm.stage import Stages
 
 BPE = "byte_bpe_50k.json"
@@ -65,11 +65,16 @@ def op10_pattern_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(digest)
 
 
+def op13_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in [
     op1_toxicity, op2_license_scan, op3_exact_topk, op4_token_files, op5_ngram_jaccard_join, op6_secret_scan, op7_html_text,
-    op8_decontamination, op9_substring_dedup, op10_pattern_packing]}
+    op8_decontamination, op9_substring_dedup, op10_pattern_packing, op13_fingerprints]}
 
 SQL = {
+    "op13_fingerprints": fingerprints.oracle(),
     "op2_license_scan": license_scan.oracle(),
     "op3_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
