@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscape.llm import (
-    decontamination, divergence, exact_topk, fingerprints, html_text, jaccard_join, license_scan, packing, secret_scan, substring_dedup, token_files, toxicity)
+    decontamination, divergence, exact_topk, fingerprints, html_text, jaccard_join, license_scan, packing, prefix_trie, secret_scan, substring_dedup, token_files, toxicity)
 from cellscape.llm.stage import Stages
 
 BPE = "byte_bpe_50k.json"
@@ -69,16 +69,22 @@ def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations")).drop("enter_at", "exit_at")
+
+
 def op13_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf, "documents"))
 
 
 QUERIES = {f.__name__: f for f in [
     op1_toxicity, op2_license_scan, op3_exact_topk, op4_token_files, op5_ngram_jaccard_join, op6_secret_scan, op7_html_text,
-    op8_decontamination, op9_substring_dedup, op10_pattern_packing, op11_source_divergence, op13_fingerprints]}
+    op8_decontamination, op9_substring_dedup, op10_pattern_packing, op11_source_divergence, op12_prefix_trie,
+    op13_fingerprints]}
 
 SQL = {
     "op11_source_divergence": divergence.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
     "op13_fingerprints": fingerprints.oracle(),
     "op2_license_scan": license_scan.oracle(),
     "op3_exact_topk": """
