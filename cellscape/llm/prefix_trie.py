@@ -312,7 +312,8 @@ def rank_list(pieces: DataFrame, stages: Stages, single: int = SINGLE) -> DataFr
         number = len(joined)
         coin = lambda c: F.expr(f"xxhash64({c}, {number}) & 1")
         right = pieces.select(F.col("piece").alias("following"), F.col("following").alias("then"), *[F.col(c).alias(f"more_{c}") for c in WEIGHTS])
-        pairs = pieces.join(right, "following", "left").withColumn("takes", F.coalesce((coin("piece") == 1) & (coin("following") == 0), F.lit(False)))
+        pairs = pieces.join(right, "following", "left").withColumn(
+            "takes", F.col("following").isNotNull() & (coin("piece") == 1) & (coin("following") == 0))
         pairs = stages.store(pairs, f"mates-{number}")
         joined.append(pairs.where("takes").select(F.col("following").alias("piece"), F.col("piece").alias("into"), *WEIGHTS))
         pieces = stages.store(
