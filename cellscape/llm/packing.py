@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ SWEEPS = 30
 SPLITS = (0.5, 0.35, 0.65, 0.2, 0.8)
 
 
-def _pieces(path: str, end_id: int, size: int):
+def _pieces(path: str, end_id: int, size: int, checksums: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,12 +41,13 @@ def _pieces(path: str, end_id: int, size: int):
                 head = n % size or size
                 edges = [0, *range(head, n + 1, size)]
                 for piece, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-                    rows.append((doc, piece, a, b - a, part, seen[b - a], ids[4 * a: 4 * b]))
+                    rows.append((doc, piece, a, b - a, part, seen[b - a],
+                                 zlib.crc32(ids[4 * a: 4 * b]) if checksums else ids[4 * a: 4 * b]))
                     seen[b - a] += 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64() if checksums else pa.binary()]
             columns = list(zip(*rows)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["doc_id", "piece", "start", "length", "part", "local", "ids"])
+                                             ["doc_id", "piece", "start", "length", "part", "local", "ids_crc32" if checksums else "ids"])
 
     return run
 
@@ -147,13 +149,17 @@ def _place(slots: np.ndarray):
     return run
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, stages: Stages, size: int = 2048, end_id: int = 0) -> DataFrame:
-    """Stored pieces ``(doc_id, piece, start, length, part, local, ids)``; ids are little-endian 32-bit."""
+def pieces_of(docs: DataFrame, tokenizer: str, stages: Stages, size: int = 2048, end_id: int = 0, checksums: bool = False) -> DataFrame:
+    """Stored pieces ``(doc_id, piece, start, length, part, local, ids)``; ids are little-endian 32-bit.
+
+    With ``checksums`` there is ``ids_crc32``, their unsigned CRC-32, in place of the ids.
+    """
     small_batches(docs.sparkSession)
+    last = "ids_crc32 long" if checksums else "ids binary"
     return stages.store(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-            _pieces(tokenizer, end_id, size),
-            "doc_id long, piece int, start long, length long, part int, local long, ids binary"), "pieces")
+            _pieces(tokenizer, end_id, size, checksums),
+            f"doc_id long, piece int, start long, length long, part int, local long, {last}"), "pieces")
 
 
 def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:

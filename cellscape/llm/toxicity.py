@@ -76,10 +76,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> Model:
     """Maximum likelihood by full-batch AdaGrad, with a small ridge penalty."""
     if not rows:
         return Model(np.zeros(1 << BITS, dtype=np.float32), np.full(levels - 1, 10.0), 0.5 * (levels - 1))
+    keep = telling(rows, grades > 0)
+    rows = [r[keep[r]] for r in rows]
     rows_of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     marks = np.concatenate([*rows, np.empty(0, np.int32)]).astype(LONG)
-    keep = telling(rows, grades > 0)[marks]
-    rows_of, marks = rows_of[keep], marks[keep]
     used, column = np.unique(marks, return_inverse=True)
     w, steps_w = np.zeros(len(used)), np.full(len(used), 1e-8)
     share = np.array([(grades >= k).mean() for k in range(1, levels)]).clip(1e-3, 1 - 1e-3)
@@ -113,12 +113,22 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> Model:
     return Model(weights, first + np.concatenate([[0], np.cumsum(np.exp(gaps))]), 0.5 * (levels - 1))
 
 
+def _counts(rows: list[np.ndarray]) -> np.ndarray:
+    """In how many rows each feature stands; a row has it once."""
+    out = np.zeros(1 << BITS, dtype=np.int32)
+    for r in rows:
+        out[r] += 1
+    return out
+
+
 def telling(rows: list[np.ndarray], bad: np.ndarray) -> np.ndarray:
     """Which features stand in the bad rows far more or less often than by chance."""
-    every, own = (np.bincount(np.concatenate([*[r for r, u in zip(rows, use) if u], np.empty(0, np.int32)]), minlength=1 << BITS)
-                  for use in (np.ones(len(rows), dtype=bool), bad))
-    share = bad.mean() if len(bad) else 0.0
-    return (every >= LEAST_ROWS) & (np.abs(own - share * every) > DEVIATIONS * np.sqrt(np.maximum(every * share * (1 - share), 1e-9)))
+    every, own = _counts(rows), _counts([r for r, u in zip(rows, bad) if u])
+    share, out = bad.mean() if len(bad) else 0.0, np.zeros(1 << BITS, dtype=bool)
+    some = np.flatnonzero(every >= LEAST_ROWS)
+    n = every[some]
+    out[some] = np.abs(own[some] - share * n) > DEVIATIONS * np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
+    return out
 
 
 def make_grades(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
@@ -127,9 +137,7 @@ def make_grades(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     A toxic feature stands in toxic rows far more often than by chance, and in them mostly.
     """
     bad = toxic > 0
-    counts = [np.bincount(np.concatenate([*[r for r, b in zip(rows, bad) if b == side], np.empty(0, np.int32)]), minlength=1 << BITS)
-              for side in (True, False)]
-    mark = telling(rows, bad) & (counts[0] > counts[1])
+    mark = telling(rows, bad) & (_counts([r for r, b in zip(rows, bad) if b]) > _counts([r for r, b in zip(rows, bad) if not b]))
     hits = np.array([mark[r].sum() for r in rows]) if rows else np.empty(0)
     return np.where(bad, 1 + (hits > 4) + (hits > 10), 0).astype(LONG)
 
@@ -168,13 +176,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = shared.value
-        kept = own.weights != 0
         for batch in batches:
-            total = np.zeros(batch.num_rows)
-            for row, data, bounds in wh.chunks(batch.column("text")):
-                text, mark = features(data, bounds, kept)
-                n = len(bounds) - 1
-                total[row: row + n] = np.bincount(text, own.weights[mark], minlength=n)
+            total = _scores(own, batch.column("text"))
             severity = own.severity(total)
             grade = (_squash(total[:, None] - own.cuts) >= 0.5).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
@@ -185,6 +188,31 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         run, "doc_id long, expected_severity double, grade int, rejected boolean")
 
 
+def _scores(model: Model, texts: pa.Array) -> np.ndarray:
+    kept, total = model.weights != 0, np.zeros(len(texts))
+    for row, data, bounds in wh.chunks(texts):
+        text, mark = features(data, bounds, kept)
+        n = len(bounds) - 1
+        total[row: row + n] = np.bincount(text, model.weights[mark], minlength=n)
+    return total
+
+
+def without_rejected(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model does not reject, each judged by its own text, with all their columns.
+
+    Null or empty text has no features and stays unless the thresholds alone reject it; ids do not matter.
+    """
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: Model = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array(own.severity(_scores(own, batch.column("text"))) < own.limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def grade_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Train on the labelled documents and score all.
 

@@ -11,40 +11,53 @@ from cellscape.llm.catalog import BPE, table
 from cellscape.llm.stage import Stages
 
 
-KEY = "_row"
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the model does not reject.  The model learns from the labelled ones among them."""
-    rows = _keyed(spark, docs, "toxicity")
-    graded = toxicity.score(_by_key(rows), toxicity.train(docs, table(spark, sf_dir, "labels")))
-    return _without(docs, rows, graded.where("rejected"))
+    """Rows that the model does not reject.  The model learns from the labelled ones among them.
+
+    Each row is judged by its own text alone: null and repeated ids, repeated rows and extra columns do not
+    matter.  Null and empty texts stay, very long ones are read whole.  Without labels all rows stay.
+    """
+    return toxicity.without_rejected(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, one row with the smallest id; one without an id only if none has an id."""
-    rows = _keyed(spark, docs, "ngram-jaccard-join")
-    groups = jaccard_join.similar_components(_by_key(rows))[0].select(F.col("doc_id").alias(KEY), "component_id")
-    groups = groups.join(rows.select(KEY, F.col("doc_id").cast("long").alias("id")), KEY)
-    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", KEY)).alias("first"))
-    return rows.join(first.select(F.col(f"first.{KEY}").alias(KEY)), KEY, "left_semi").select(docs.columns)
+    """Of each group of near duplicates, one row with the smallest id; one without an id only if none has an id.
+
+    Rows of equal id are told apart.  Null and empty texts are near nothing and stay.  Extra columns are kept.
+    """
+    rows, key = _keyed(spark, docs, "ngram-jaccard-join")
+    groups = jaccard_join.similar_components(_by_key(rows, key))[0].select(F.col("doc_id").alias(key), "component_id")
+    groups = groups.join(rows.select(key, F.col("doc_id").cast("long").alias("id")), key)
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", key)).alias("first"))
+    return rows.join(first.select(F.col(f"first.{key}").alias(key)), key, "left_semi").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a passage of the benchmark."""
-    rows = _keyed(spark, docs, "decontamination")
-    return _without(docs, rows, decontamination.contaminated(_by_key(rows), table(spark, sf_dir, "benchmark")))
+    """Rows without a passage of the benchmark, each judged by its own text.
+
+    Null and empty texts stay; extra columns are kept.  An empty benchmark leaves all rows.
+    """
+    rows, key = _keyed(spark, docs, "decontamination")
+    found = decontamination.contaminated(_by_key(rows, key), table(spark, sf_dir, "benchmark"))
+    return rows.join(found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in their texts replaced by a mark."""
-    return secret_scan.redact(secret_scan.scan(docs))
+    """All documents, with secrets in their texts replaced by a mark; null and empty texts stay as they are.
+
+    Every row stays; ``n_chars`` of a changed text is counted anew.  A column named ``found`` is kept.
+    """
+    spare = _spare(docs, "found")
+    named = docs.withColumnRenamed("found", spare)
+    return secret_scan.redact(secret_scan.scan(named)).withColumnRenamed(spare, "found").select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences and their places."""
-    pieces = packing.pieces_of(docs, public_tokenizers.path(BPE), Stages(spark, "packing"))
-    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "local"))
+    """The pieces of the packed sequences and their places.
+
+    Each row is a document of its own, whatever its id; null or empty text is the end id alone.
+    """
+    return packing.pack(packing.pieces_of(docs, public_tokenizers.path(BPE), Stages(spark, "packing"), checksums=True))
 
 
 STAGES = [
@@ -53,19 +66,23 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _keyed(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a unique number for each row, stored so that it stays the same."""
-    return Stages(spark, f"pipeline-{name}").store(docs.withColumn(KEY, F.monotonically_increasing_id()), "rows")
+def _spare(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    have = {c.lower() for c in docs.columns}
+    while name in have:
+        name += "_"
+    return name
 
 
-def _by_key(rows: DataFrame) -> DataFrame:
-    """What an operator gets: its decisions are for single rows, whatever their ``doc_id``."""
-    return rows.select(F.col(KEY).alias("doc_id"), "text")
+def _keyed(spark: SparkSession, docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number for each row, stored so that it stays the same, and the number's name."""
+    key = _spare(docs, "row_number")
+    return Stages(spark, f"pipeline-{name}").store(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
 
 
-def _without(docs: DataFrame, rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """``rows`` whose number is not a ``doc_id`` in ``gone``, with the columns of ``docs``."""
-    return rows.join(gone.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti").select(docs.columns)
+def _by_key(rows: DataFrame, key: str) -> DataFrame:
+    """What an operator gets: its decisions are for single rows, whatever their ``doc_id``."""
+    return rows.select(F.col(key).alias("doc_id"), "text")
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,3 +52,24 @@ def test_stages_decide_by_row(spark, sf):
     odd = docs.unionByName(made((None, toxic), (-1, toxic), (-1, "a clean line of words"), (None, "another clean line")))
     kept = [t for _, _, t in texts(corpus_pipeline.toxicity_stage(spark, odd, sf))]
     assert toxic not in kept and {"a clean line of words", "another clean line"} <= set(kept)
+
+
+def test_stages_keep_columns_of_any_name(spark, sf):
+    """Extra columns that stages use inside, empty tables, null, empty and long texts."""
+    long = "plain words of a long text " * 200_000
+    rows = [(1, "a b c d e f", 7, "r", "f", 1), (2, None, 8, "r2", None, 2), (None, "", None, None, "f3", 3), (4, long, 9, "r4", "f4", 4),
+            (5, "password = abcdefghijkl9", 24, "r5", "f5", 5), (5, "password = abcdefghijkl9 and five other words", 46, "r6", "f6", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, row_number string, found string, row_number_ int").repartition(3)
+    for table in (docs, docs.where("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, table, sf)
+            assert got.columns == table.columns
+            kept = {r["row_number_"]: tuple(r) for r in got.collect()}
+            want = {r["row_number_"]: tuple(r) for r in table.collect()}
+            if name == "secret_scan" and want:
+                assert kept[5][:3] == (5, "[secret]", 8) and kept[6][3:] == want[6][3:]
+                kept = {k: v for k, v in kept.items() if k < 5}
+                want = {k: v for k, v in want.items() if k < 5}
+            assert kept == want
+        placed = corpus_pipeline.packing_stage(spark, table, sf).collect()
+        assert len(placed) >= table.count() and sum(r["piece"] == 0 for r in placed) == table.count()
