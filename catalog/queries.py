@@ -20,6 +20,7 @@ from cellscape.functions.keys import canonical_json, canonical_list, fingerprint
 from cellscape.operators import clusters as cl
 from cellscape.operators import distances, dissolve, evaluate, features, hexgrid, knn, models, osm, raster
 from cellscape.operators.bayes import GaussianNB
+from cellscape.operators.forest import Rules, grow
 from cellscape.operators.skew import join_dimension, rank_within
 from cellscape.plans import experiment
 from cellscape.session import configure, materialize_once
@@ -1026,6 +1027,37 @@ def _(spark, sf):
         knn.class_share(F.col("neighbours")).alias("score"), knn.class_share(F.col("neighbours"), "distance").alias("weighted")))
 
 
+def _tree_sql(levels: int) -> str:
+    """A decision tree on three features of lineitem by trying every cut of every node, level by level."""
+    gini = lambda ones, n: f"({n}) * (2.0 * (({ones}) / ({n})) * (1 - ({ones}) / ({n})))"
+    parts = ["""r0 AS (SELECT 1 AS node, [l_quantity::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE] AS x,
+                   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem WHERE l_returnflag IN ('R', 'A'))"""]
+    for k in range(levels):
+        parts.append(f"""
+    u{k} AS (SELECT node, feature, value, sum(m) OVER w AS l, sum(m1) OVER w AS l1, sum(m) OVER (PARTITION BY node, feature) AS n,
+                    sum(m1) OVER (PARTITION BY node, feature) AS ones
+             FROM (SELECT node, feature, x[feature + 1] AS value, count(*) AS m, sum(label) AS m1
+                   FROM r{k}, (SELECT unnest([0, 1, 2]) AS feature) GROUP BY node, feature, x[feature + 1])
+             WINDOW w AS (PARTITION BY node, feature ORDER BY value)),
+    b{k} AS (SELECT node, n, ones, feature, value AS cut FROM (
+               SELECT *, row_number() OVER (PARTITION BY node ORDER BY ({gini('l1', 'l')} + {gini('ones - l1', 'n - l')}) / n, feature, value) AS k
+               FROM u{k} WHERE l < n AND ones > 0 AND ones < n) WHERE k = 1),
+    r{k + 1} AS (SELECT 2 * r.node + (x[feature + 1] > cut)::INT AS node, x, label FROM r{k} r JOIN b{k} b ON r.node = b.node)""")
+    inner = [f"SELECT {k} AS depth, feature, cut, n, ones FROM b{k}" for k in range(levels)]
+    leaves = [f"SELECT {k} AS depth, -1 AS feature, NULL AS cut, count(*) AS n, sum(label) AS ones FROM r{k} WHERE {k} = {levels} OR node NOT IN (SELECT node FROM b{min(k, levels - 1)}) GROUP BY node"
+              for k in range(levels + 1)]
+    return f"WITH {', '.join(parts)} SELECT depth, feature, round(cut, 6) AS cut, n::BIGINT AS n, ones::BIGINT AS ones FROM ({' UNION ALL '.join(inner + leaves)})"
+
+
+@query("tree_nodes", _tree_sql(3))
+def _(spark, sf):
+    t = table(spark, sf, "lineitem").where("l_returnflag in ('R', 'A')").select(
+        *[F.col(c).cast("double").alias(c) for c in ("l_quantity", "l_discount", "l_tax")], (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    # nodes above 5,000 rows go the way of large ones
+    tree = grow(models.assemble(t, ["l_quantity", "l_discount", "l_tax"]), Rules(max_depth=3, group_rows=5_000))
+    return tree.nodes.select("depth", "feature", F.round("cut", 6).alias("cut"), "n", "ones")
+
+
 # settings small enough for the test tables
 TRAINED = {
     "random_forest": ("RandomForest", {"n_estimators": 20, "max_depth": 5, "max_features": "sqrt", "criterion": "gini", "min_samples_split": 2, "random_state": 2193}),
@@ -1034,6 +1066,8 @@ TRAINED = {
     "adaboost": ("AdaBoost", {"learning_rate": 1.0, "n_estimators": 8, "algorithm": "SAMME"}),
     "gbt": ("GradientBoostingClassifier", {"n_estimators": 8, "learning_rate": 0.1, "subsample": 0.8, "max_depth": 3}),
     "decision_tree": ("DecisionTreeClassifier", {"max_features": None, "criterion": "gini", "max_depth": 5, "min_samples_split": 2}),
+    "random_forest_deep": ("RandomForest", {"n_estimators": 100, "max_depth": 50, "max_features": "sqrt", "criterion": "gini", "min_samples_split": 2, "random_state": 2193}),
+    "extra_trees_deep": ("ExtraTrees", {"n_estimators": 100, "max_depth": 50, "max_features": "sqrt", "criterion": "gini", "min_samples_split": 5, "random_state": 2193}),
     "linear": ("SGDClassifier", {"loss": "log", "penalty": "l2"}),
     "linear_svc": ("SVM", {"C_reg": 1.0, "kernel": "linear"}),
 }

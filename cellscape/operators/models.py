@@ -16,7 +16,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,9 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.operators.bayes import GaussianNB
-from cellscape.operators.trees import fit_extra_trees
+from cellscape.operators.forest import Rules, grow
 
-MAX_DEPTH = 30  # the library's limit; deeper requests are cut to it
+MAX_DEPTH = 30  # the library's limit for boosted trees; deeper requests are cut to it
 MAX_BINS = 255
 
 
@@ -70,40 +69,16 @@ class CalibratedMargin(LibraryModel):
             "rawPrediction", "prediction", "margin")
 
 
-def _subset(max_features) -> str:
-    if max_features in (None, "all", "None"):
-        return "all"
-    return "sqrt" if max_features == "auto" else str(max_features)
+def tree_rules(name: str, p: dict) -> Rules:
+    """How a tree model of the given name and parameters is grown."""
+    return Rules(
+        n_trees=int(p.get("n_estimators", 1)) if name != "DecisionTreeClassifier" else 1, criterion=p.get("criterion", "gini"),
+        max_depth=p.get("max_depth"), min_split=int(p.get("min_samples_split", 2)), max_features=p.get("max_features"),
+        seed=int(p.get("random_state", 0)), bootstrap=name == "RandomForest", random_cuts=name == "ExtraTrees")
 
 
-def _tree_settings(p: dict) -> dict:
-    depth = p.get("max_depth")
-    return {
-        "maxDepth": MAX_DEPTH if depth is None else min(int(depth), MAX_DEPTH),
-        "minInstancesPerNode": max(1, int(p.get("min_samples_split", 2)) // 2),
-        "impurity": p.get("criterion", "gini"),
-        "maxBins": MAX_BINS,
-    }
-
-
-def _random_forest(p: dict, train: DataFrame):
-    return LibraryModel(RandomForestClassifier(
-        numTrees=int(p["n_estimators"]), featureSubsetStrategy=_subset(p.get("max_features")),
-        seed=int(p.get("random_state", 0)), **_tree_settings(p)).fit(train))
-
-
-def _decision_tree(p: dict, train: DataFrame):
-    # one tree of a forest without bootstrap allows a feature subset per node as well
-    forest = RandomForestClassifier(
-        numTrees=1, bootstrap=False, featureSubsetStrategy=_subset(p.get("max_features")), **_tree_settings(p))
-    return LibraryModel(forest.fit(train))
-
-
-def _extra_trees(p: dict, train: DataFrame):
-    return fit_extra_trees(
-        train, n_trees=int(p["n_estimators"]), max_depth=int(p.get("max_depth") or MAX_DEPTH),
-        min_split=int(p.get("min_samples_split", 2)), seed=int(p.get("random_state", 0)),
-        max_features=_subset(p.get("max_features")))
+def _trees(name: str):
+    return lambda p, train: grow(train, tree_rules(name, p))
 
 
 def _logistic(p: dict, train: DataFrame):
@@ -242,14 +217,14 @@ def _naive_bayes(p: dict, train: DataFrame):
 
 
 MODELS = {
-    "RandomForest": _random_forest,
+    "RandomForest": _trees("RandomForest"),
     "SVM": _support_vectors,
     "LogisticRegression": _logistic,
     "AdaBoost": _boosted_stumps,
-    "ExtraTrees": _extra_trees,
+    "ExtraTrees": _trees("ExtraTrees"),
     "GradientBoostingClassifier": _gradient_boosting,
     "GaussianNB": _naive_bayes,
-    "DecisionTreeClassifier": _decision_tree,
+    "DecisionTreeClassifier": _trees("DecisionTreeClassifier"),
     "SGDClassifier": _linear,
 }
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellscape.session import materialize
+
 HOT_KEYS = 10_000
 
 
@@ -71,3 +77,45 @@ def join_city_table(cells: DataFrame, table: DataFrame, on: tuple[str, ...] = ("
     band = F.floor(F.shiftright("cell_id", 20) / BAND_ROWS)
     bands = cells.select(*on, band.alias("_band")).distinct().join(table, list(on))
     return cells.withColumn("_band", band).join(bands, [*on, "_band"]).drop("_band")
+
+
+def running_sums(df: DataFrame, by: list[str], order: str, columns: list[str], name: str) -> DataFrame:
+    """Replace integer ``columns`` by their running sums over rows of the same ``by``, along ``order``.
+
+    Rows are sorted by ranges over all tasks, so a group may span many of them.  Each task adds up its own
+    range; a group in several ranges takes over the sums of the ranges before.  A range has at most two such
+    groups, its first and its last, so the table of what is taken over is broadcast.
+    """
+    def add_up(batches):
+        part, last, carry = TaskContext.get().partitionId(), None, [0] * len(columns)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(c) for c in by]
+            new = np.zeros(batch.num_rows, dtype=bool)
+            for k in keys:
+                new[1:] |= pc.fill_null(pc.not_equal(k[1:], k[:-1]), True).to_numpy(zero_copy_only=False)
+            new[0] = [k[0] for k in keys] != last
+            starts, group = np.flatnonzero(new), np.cumsum(new)
+            table = pa.Table.from_batches([batch])
+            for j, c in enumerate(columns):
+                x = batch.column(c).to_numpy()
+                total = np.cumsum(x)
+                total -= np.concatenate([[-carry[j]], total[starts] - x[starts]])[group]
+                carry[j] = int(total[-1])
+                table = table.append_column(f"_run_{c}", pa.array(total))
+            last = [k[batch.num_rows - 1] for k in keys]
+            yield from table.append_column("_part", pa.array(np.full(batch.num_rows, part, np.int32))).to_batches()
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    runs = "".join(f", `_run_{c}` long" for c in columns)
+    ranged = df.repartitionByRange(*by, order).sortWithinPartitions(*by, order)
+    rows = materialize(ranged.mapInArrow(add_up, f"{fields}{runs}, _part int"), name)
+    key = F.struct(*by)
+    ends = rows.groupBy("_part").agg(F.array_distinct(F.array(F.min(key), F.max(key))).alias("ends"))
+    wide = ends.select(F.explode("ends").alias("k")).groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k.*")
+    sums = rows.join(F.broadcast(wide), by).groupBy(*by, "_part").agg(*[F.sum(c).alias(c) for c in columns])
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    taken = sums.select(*by, "_part", *[F.sum(c).over(before).alias(f"_carry_{c}") for c in columns])
+    out = rows.join(F.broadcast(taken), [*by, "_part"], "left")
+    return out.withColumns({c: F.col(f"_run_{c}") + F.coalesce(f"_carry_{c}", F.lit(0)) for c in columns}).select(df.columns)

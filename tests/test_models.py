@@ -74,8 +74,9 @@ def test_classifiers_separate(spark, separable, name, parameters):
 
 
 def test_extra_trees_repeat_with_the_same_seed(spark, separable):
-    one, two = (models.fit("ExtraTrees", {**TREES, "n_estimators": 3}, separable) for _ in range(2))
-    assert one.feature == two.feature and one.cut == two.cut and len(one.roots) == 3
+    one, two = (models.fit("ExtraTrees", {**TREES, "n_estimators": 3}, df) for df in (separable, separable.repartition(7)))
+    rows = [sorted(map(str, m.nodes.collect())) for m in (one, two)]
+    assert rows[0] == rows[1] and one.nodes.select("tree").distinct().count() == 3
 
 
 def test_unsupported_requests(separable):
