@@ -22,7 +22,7 @@ from cellscape.operators import distances, dissolve, evaluate, features, hexgrid
 from cellscape.operators.bayes import GaussianNB
 from cellscape.operators.forest import Rules, grow
 from cellscape.operators.skew import join_dimension, rank_within
-from cellscape.plans import experiment
+from cellscape.plans import experiment, runs
 from cellscape.session import configure, materialize_once
 from cellscape.sources import readers, schemas, writers
 
@@ -761,6 +761,65 @@ def _(spark, sf):
     return experiment.switched_on(switches).select("p_partkey", "feature")
 
 
+# a city's rows are its supplier's line items; those without a label are the period to be predicted
+_CITY_ROWS = """SELECT l_suppkey AS city, l_orderkey, l_linenumber, l_partkey, l_quantity::DOUBLE AS a, l_discount::DOUBLE AS b, l_tax::DOUBLE AS c,
+    CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS label FROM lineitem"""
+_CITY_MODELS = f"""rows AS ({_CITY_ROWS}),
+    t AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY l_orderkey, l_linenumber, l_partkey, a, b, c, label) - 1 AS i,
+                 count(*) OVER (PARTITION BY city) AS n FROM rows WHERE label IS NOT NULL),
+    f AS (SELECT *, 1 + CASE WHEN i < (n % 3) * (n // 3 + 1) THEN i // (n // 3 + 1) ELSE n % 3 + (i - (n % 3) * (n // 3 + 1)) // nullif(n // 3, 0) END AS fold FROM t),
+    u AS (SELECT f.*, unit FROM f, (SELECT unnest([0, 1, 2, 3]) AS unit) WHERE unit <> fold),
+    e AS (SELECT city, unit, count(*) AS total, 1e-9 * greatest(var_pop(a), var_pop(b), var_pop(c)) AS eps FROM u GROUP BY city, unit),
+    m AS (SELECT u.city, u.unit, label, ln(count(*) / any_value(total)) AS prior, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc,
+                 var_pop(a) + any_value(eps) AS va, var_pop(b) + any_value(eps) AS vb, var_pop(c) + any_value(eps) AS vc
+          FROM u JOIN e ON u.city = e.city AND u.unit = e.unit GROUP BY u.city, u.unit, label)"""
+
+
+def _city_scores(rows: str) -> str:
+    """Scores of ``rows`` (with ``unit``) by the model of their city and unit."""
+    joint = lambda k: (f"({k}.prior - 0.5 * (ln(2 * pi() * {k}.va) + (r.a - {k}.ma) ** 2 / {k}.va + ln(2 * pi() * {k}.vb) + (r.b - {k}.mb) ** 2 / {k}.vb "
+                       f"+ ln(2 * pi() * {k}.vc) + (r.c - {k}.mc) ** 2 / {k}.vc))")
+    return f"""SELECT r.*, CASE WHEN y.label IS NULL THEN 0 WHEN z.label IS NULL THEN 1 ELSE 1 / (1 + exp({joint('z')} - {joint('y')})) END AS score
+        FROM ({rows}) r LEFT JOIN m y ON y.city = r.city AND y.unit = r.unit AND y.label = 1
+        LEFT JOIN m z ON z.city = r.city AND z.unit = r.unit AND z.label = 0 WHERE y.label IS NOT NULL OR z.label IS NOT NULL"""
+
+
+_CITY_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "a", "b", "c", "label"]
+
+
+def city_run(spark, sf):
+    t = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("city"), "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("double").alias("a"),
+        F.col("l_discount").cast("double").alias("b"), F.col("l_tax").cast("double").alias("c"),
+        F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 0).alias("label"))
+    rows = models.assemble(t, ["a", "b", "c"])
+    return runs.run_cities("GaussianNB", {}, rows, rows.where("label is null").select("city", *_CITY_KEY[:3], "features"),
+                           [F.floor(F.col("l_orderkey") / 4096)], _CITY_KEY, 3)
+
+
+@query("run_predictions", f"""WITH {_CITY_MODELS}
+    SELECT city, l_orderkey, l_linenumber, l_partkey, round(score, 6) AS score
+    FROM ({_city_scores("SELECT *, 0 AS unit FROM rows WHERE label IS NULL")})""")
+def _(spark, sf):
+    """Scores of the last period by the model of each city."""
+    return rounded(city_run(spark, sf).predictions)
+
+
+@query("run_evaluations", f"""WITH {_CITY_MODELS},
+    s AS ({_city_scores("SELECT city, fold AS unit, a, b, c, label FROM f")}),
+    k AS (SELECT city, unit, cutoff, count(*) FILTER (score >= cutoff AND label = 1) AS tp, count(*) FILTER (score < cutoff AND label = 0) AS tn,
+                 count(*) FILTER (score >= cutoff AND label = 0) AS fp, count(*) FILTER (score < cutoff AND label = 1) AS fn
+          FROM s, (SELECT unnest([{', '.join(map(str, config.CUTOFFS))}]) AS cutoff) GROUP BY city, unit, cutoff),
+    l AS ({' UNION ALL '.join(f"SELECT city, unit, cutoff, '{name}' AS metric, {value} AS value FROM k" for name, value in (
+        ("true positives@", "tp::DOUBLE"), ("true negatives@", "tn::DOUBLE"), ("false positives@", "fp::DOUBLE"), ("false negatives@", "fn::DOUBLE"),
+        ("precision@", "tp / nullif(tp + fp, 0)"), ("recall@", "tp / nullif(tp + fn, 0)"), ("f1@", "2 * tp / nullif(2 * tp + fp + fn, 0)"),
+        ("auc@", "(tp + tn) / nullif(tp + tn + fp + fn, 0)")))})
+    SELECT city, metric, cutoff, round(avg(value), 6) AS value FROM l GROUP BY city, metric, cutoff""")
+def _(spark, sf):
+    """Metrics of each city, averaged over its folds."""
+    return rounded(city_run(spark, sf).evaluations)
+
+
 _GRID_VALUES = ", ".join(
     f"('{m}', '{experiment.json_map(p)}')" for m, p in models.parameter_grid(config.PARAMETER_GRIDS))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.functions import geometry as g
-from cellscape.operators.skew import join_city_table
+from cellscape.operators.skew import BAND_ROWS
 from cellscape.operators.sweep import inside, ring_segments
 
 COLUMN_BITS = 20
@@ -123,18 +123,19 @@ def layer_bounds(points: DataFrame, by: list[str]) -> DataFrame:
 
 
 def centre_distance(cells: DataFrame, centres: DataFrame) -> DataFrame:
-    """Distance in km from each cell to its city's centre polygon ``(city, ring)``, 0 inside."""
+    """Distance in km from each cell to its city's centre polygon ``(city, ring)``, 0 inside.
+
+    Each cell meets the edges of its city in generated code; the edges reach it by band of grid rows, and the
+    minimum over them uses the same partitioning or a partial aggregate of one row a cell.
+    """
     edges = ring_segments(centres, ["city"]).groupBy("city").agg(
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))  # the corners of one ring
-    cx, cy = F.col("cx"), F.col("cy")
-
-    def crosses(e: Column) -> Column:
-        return ((e["y1"] <= cy) != (e["y2"] <= cy)) & (
-            e["x1"] + (cy - e["y1"]) * F.coalesce(F.try_divide(e["x2"] - e["x1"], e["y2"] - e["y1"]), F.lit(0.0)) > cx)
-
-    metres = F.array_min(F.transform("edges", lambda e: g.segment_distance(cx, cy, e["x1"], e["y1"], e["x2"], e["y2"])))
-    return (
-        join_city_table(cells.select("city", "cell_id", "cx", "cy"), edges)
-        .select("city", "cell_id", F.when(F.size(F.filter("edges", crosses)) % 2 == 1, 0.0).otherwise(metres / 1000)
-                .alias("city_center_distance_km"))
-    )
+    band = F.floor(F.shiftright("cell_id", 20) / BAND_ROWS).alias("band")
+    placed = cells.select("city", band, "cell_id", "cx", "cy")
+    bands = placed.select("city", "band").distinct().join(edges, "city")
+    pairs = placed.join(bands, ["city", "band"]).select("city", "band", "cell_id", "cx", "cy", F.inline("edges"))
+    x1, y1, x2, y2, cx, cy = (F.col(c) for c in ("x1", "y1", "x2", "y2", "cx", "cy"))
+    crosses = ((y1 <= cy) != (y2 <= cy)) & (x1 + (cy - y1) * F.coalesce(F.try_divide(x2 - x1, y2 - y1), F.lit(0.0)) > cx)
+    return pairs.groupBy("city", "band", "cell_id").agg(
+        F.min(g.segment_distance(cx, cy, x1, y1, x2, y2)).alias("metres"), F.sum(crosses.cast("int")).alias("crossings")
+    ).select("city", "cell_id", F.when(F.col("crossings") % 2 == 1, 0.0).otherwise(F.col("metres") / 1000).alias("city_center_distance_km"))
