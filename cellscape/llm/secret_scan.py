@@ -30,6 +30,7 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 CHECKED = re.compile(r"(?:gh[opusr]_|npm_)[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+RUN = re.compile(r"[A-Za-z0-9_-]+")
 PRIVATE = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
 KEYWORDS = {
     **dict.fromkeys(["password", "passwd", "secret", "token", "apikey", "api_key"], "assign"),
@@ -52,7 +53,7 @@ def checksum_holds(token: str) -> bool:
 def _is_jwt(head: str) -> bool:
     try:
         found = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
-    except ValueError:
+    except (ValueError, RecursionError):
         return False
     return isinstance(found, dict) and "alg" in found
 
@@ -84,6 +85,8 @@ def find(text: str, keywords: ahocorasick.Automaton) -> list[tuple[int, int, int
         elif kind == "jwt":
             m = JWT.match(text, start)
             good = m and _is_jwt(m[1])
+            if not m and text.startswith("eyJ", start):  # no later start in the same run has the dot that is missing here
+                done[kind] = RUN.match(text, start).end()
         elif kind == "private_key":
             m = PRIVATE.match(text, start)
             good = m
@@ -118,10 +121,12 @@ def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, end = hex_runs(data, bounds)
             runs = np.searchsorted(bounds, start, side="right") - 1
             edges = np.searchsorted(runs, np.arange(len(bounds)))
+            # code points before each byte: all but continuation bytes
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if len(start) else start
             for t in range(len(bounds) - 1):
                 own = find(texts[row + t].as_py() or "", keywords)
                 for k in range(edges[t], edges[t + 1]):
-                    a = len(bytes(data[bounds[t]: start[k]]).decode())
+                    a = int(points[start[k]] - points[bounds[t]])
                     own.append((a, access, a + int(end[k] - start[k])))
                 found.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in sorted(own)])
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
