@@ -297,6 +297,26 @@ EXPECTED: dict[str, str] = {
     "cell_sides": """
         SELECT city, model_type, 4 * "col" + 2 * ("row" % 2) + mx AS mx, 6 * "row" + my AS my FROM {best_positions}
         CROSS JOIN (VALUES (1, -3), (2, 0), (1, 3), (-1, 3), (-2, 0), (-1, -3)) t(mx, my)""",
+    "best_links": """
+        SELECT b.city, b.model_type, b.cell_id AS a, n.cell_id AS z FROM {best_cells} b
+        JOIN {adjacent} d ON d.city = b.city AND d.cell_id = b.cell_id
+        JOIN {best_cells} n ON n.city = b.city AND n.model_type = b.model_type AND n.cell_id = d.neighbour_id""",
+    "best_reach": """
+        SELECT city, model_type, cell_id, cell_id AS label FROM {best_cells}
+        UNION
+        SELECT l.city, l.model_type, l.z, r.label FROM {best_reach} r
+        JOIN {best_links} l ON l.city = r.city AND l.model_type = r.model_type AND l.a = r.cell_id AND r.label < l.z""",
+    "best_areas": """
+        SELECT city, model_type, cell_id // 1048576 AS "row", cell_id % 1048576 AS "col", min(label) AS area
+        FROM {best_reach} GROUP BY ALL""",
+    # rings by Euler's formula: corners - sides + cells of one area is 1 less its holes
+    "area_corners": """
+        SELECT city, model_type, area, count(DISTINCT (2 * "col" + "row" % 2 + dx, 3 * "row" + dy)) AS n_corners FROM {best_areas}
+        CROSS JOIN (VALUES (0, -2), (1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1)) t(dx, dy) GROUP BY ALL""",
+    "area_sides": """
+        SELECT city, model_type, area, count(*) AS n_sides, count(*) FILTER (n = 1) AS n_outer FROM (
+          SELECT city, model_type, area, 4 * "col" + 2 * ("row" % 2) + mx AS mx, 6 * "row" + my AS my, count(*) AS n FROM {best_areas}
+          CROSS JOIN (VALUES (1, -3), (2, 0), (1, 3), (-1, 3), (-2, 0), (-1, -3)) t(mx, my) GROUP BY ALL) s GROUP BY ALL""",
 }
 
 

@@ -6,6 +6,7 @@ and read by the queries after them; the queries named after those stages compute
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from cellscape.operators.bayes import GaussianNB
 from cellscape.operators.forest import Rules, grow
 from cellscape.operators.skew import join_dimension, rank_within
 from cellscape.plans import experiment, runs
-from cellscape.session import configure, materialize_once
+from cellscape.session import configure, materialize_once, shared_folder
 from cellscape.sources import readers, schemas, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -291,6 +292,29 @@ def _(spark, sf):
         "city", "fid", "corner", "p.x", "p.y")
 
 
+# an outer box, a hole of half its size, and for every third shape a second part
+@query("scan_wkt_parts", """
+    SELECT city, fid, part, ring, i AS corner,
+           wx + dx + size * CASE WHEN (ring = 0 AND i IN (1, 2)) OR (ring = 1 AND i IN (2, 3)) THEN 1 ELSE -1 END AS x,
+           wy + size * CASE WHEN (ring = 0 AND i IN (2, 3)) OR (ring = 1 AND i IN (1, 2)) THEN 1 ELSE -1 END AS y
+    FROM (SELECT city, fid, wx, wy, CAST(part AS INT) AS part, CAST(ring AS INT) AS ring, part * 10 * half AS dx, half / (1 + ring) AS size,
+                 CAST(unnest(range(0, 5)) AS INT) AS i
+          FROM {water} CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0)) t(part, ring) WHERE part = 0 OR fid % 3 = 0) w""")
+def _(spark, sf):
+    x0, y0, r = F.col("wx"), F.col("wy"), F.col("half")
+
+    def body(x, size):
+        return F.regexp_extract(g.ring_wkt(g.box_ring(x - size, y0 - size, x + size, y0 + size)), r"\((\(.*\))\)", 1)
+
+    second = F.when(F.col("fid") % 3 == 0, F.concat(F.lit(", ("), body(x0 + 10 * r, r), F.lit(")"))).otherwise("")
+    text = F.concat(F.lit("MULTIPOLYGON(("), body(x0, r), F.lit(", "), body(x0, r / 2), F.lit(")"), second, F.lit(")"))
+    path = f"{shared_folder(spark)}/wkt-{uuid.uuid4().hex}"
+    layer(spark, sf, "water").select("city", "fid", text).write.csv(path, sep="\t")
+    return readers.wkt_file(spark, path, "city long, fid long").select(
+        "city", "fid", "part", "ring", F.posexplode("coords").alias("corner", "p")).select(
+        "city", "fid", "part", "ring", "corner", "p.x", "p.y")
+
+
 @query("first_link_per_year", "SELECT year, arg_min(link, line_no) AS link FROM {links} GROUP BY year")
 def _(spark, sf):
     return readers.first_link_per_year(layer(spark, sf, "links"))
@@ -677,9 +701,27 @@ def _(spark, sf):
     return rounded(dissolve.dissolved_area(predicted_positions(spark, sf), ["city", "model_type"], SIDE), 4)
 
 
-@query("export_prediction_wkt")
+def prediction_text(spark, sf):
+    return materialize_once(spark, f"{sf}/prediction-text", lambda: dissolve.dissolved_polygons(
+        predicted_positions(spark, sf), ["city", "model_type"], SIDE))
+
+
+@query("export_prediction_text")
 def _(spark, sf):
-    return dissolve.dissolved_polygons(predicted_positions(spark, sf), ["city", "model_type"], SIDE)
+    return prediction_text(spark, sf)
+
+
+# the exported texts, read back: rings, corners, and the area as a number of cells
+@query("export_prediction_wkt", """
+    SELECT city, model_type, area, 2 - (n_corners - n_sides + n_cells) AS n_rings, n_outer AS n_vertices, n_cells
+    FROM (SELECT city, model_type, area, count(*) AS n_cells FROM {best_areas} GROUP BY ALL) a
+    JOIN {area_corners} c USING (city, model_type, area) JOIN {area_sides} s USING (city, model_type, area)""")
+def _(spark, sf):
+    rings = readers.wkt_rings(prediction_text(spark, sf)).select(
+        "city", "model_type", "area", F.size("coords").alias("n"), g.ring_signed_area(F.col("coords")).alias("signed"))
+    return rings.groupBy("city", "model_type", "area").agg(
+        F.count("*").alias("n_rings"), F.sum(F.col("n") - 1).alias("n_vertices"),
+        F.round(F.sum("signed") / g.hexagon_area(SIDE)).cast("long").alias("n_cells"))
 
 
 @query("export_clusters", """
@@ -1048,6 +1090,38 @@ def _(spark, sf):
     return rounded(osm.water_in_box(w).select("city", "fid", F.abs(g.ring_signed_area(F.col("ring"))).alias("area")), 4)
 
 
+# a U of three bars, cut to a box that may hold both prongs without what links them
+x.EXPECTED["bent_water"] = """
+    SELECT city, fid, round((a + b + c) * half * half, 4) AS area, CAST(CASE WHEN c > 0 THEN 1 ELSE (a > 0)::INT + (b > 0)::INT END AS BIGINT) AS n_parts
+    FROM (SELECT city, fid, half, 0.25 * (0.9 - greatest(y0, -0.5)) AS a, greatest(0, x1 - 0.5) * (0.9 - greatest(y0, -0.5)) AS b,
+                 (x1 + 0.75) * greatest(0, -0.5 - y0) AS c
+          FROM (SELECT *, -0.05 + 0.25e0 * (1 + fid % 4) AS x1, -0.8e0 + 0.4e0 * (fid % 3) AS y0 FROM {water}) w) o"""
+
+
+def bent_water(spark, sf):
+    r, x0, y0 = F.col("half"), F.col("wx"), F.col("wy")
+    corners = [(-1, -1), (1, -1), (1, 1), (.5, 1), (.5, -.5), (-.5, -.5), (-.5, 1), (-1, 1)]
+    return layer(spark, sf, "water").select(
+        "city", "fid", F.array(*[g.point(x0 + r * dx, y0 + r * dy) for dx, dy in corners]).alias("ring"),
+        (x0 - 0.75 * r).alias("xmin"), (y0 + r * (-0.8 + 0.4 * (F.col("fid") % 3))).alias("ymin"),
+        (x0 + r * (-0.05 + 0.25 * (1 + F.col("fid") % 4))).alias("xmax"), (y0 + 0.9 * r).alias("ymax"))
+
+
+def area_and_parts(water):
+    return rounded(water.groupBy("city", "fid").agg(
+        F.sum(F.abs(g.ring_signed_area(F.col("ring")))).alias("area"), F.count("*").alias("n_parts")), 4)
+
+
+@query("water_clip_parts", "SELECT city, fid, area, n_parts FROM {bent_water}")
+def _(spark, sf):
+    return area_and_parts(osm.water_in_box(bent_water(spark, sf), "keep"))
+
+
+@query("water_clip_single", "SELECT city, fid, area, n_parts FROM {bent_water} WHERE n_parts = 1")
+def _(spark, sf):
+    return area_and_parts(osm.water_in_box(bent_water(spark, sf)))
+
+
 # ----- classifiers ----------------------------------------------------------------------------
 
 @query("gaussian_nb", """

@@ -199,6 +199,64 @@ def wkt_points(text: Column) -> Column:
     )
 
 
+def wkt_kind(text: Column) -> Column:
+    """Upper-case geometry name of a WKT text, without a leading SRID."""
+    return F.upper(F.regexp_extract(text, r"^\s*(?:SRID\s*=\s*\d+\s*;)?\s*([A-Za-z]+)", 1))
+
+
+def wkt_parts(text: Column) -> Column:
+    """All coordinates of a WKT text: ARRAY of parts, a part an ARRAY of rings or lines, these ARRAYs of points.
+
+    POLYGON and MULTIPOLYGON: a part is its outer ring, then its holes.  Other MULTI kinds: one list a part, for
+    MULTIPOINT one point.  Values beyond the second of a point (z, m) are left out.  EMPTY gives no part; NULL,
+    collections and texts that are no WKT give NULL.
+    """
+    kind = wkt_kind(text)
+
+    def points(body):
+        return F.transform(F.split(F.trim(body), r"\s*,\s*"), lambda p: F.struct(
+            F.get(F.split(F.trim(p), r"\s+"), F.lit(0)).try_cast("double").alias("x"),
+            F.get(F.split(F.trim(p), r"\s+"), F.lit(1)).try_cast("double").alias("y")))
+
+    def lists(body):  # coordinate lists stand between an opening and a closing parenthesis
+        bodies = F.transform(F.split(body, r"\)"), lambda t: F.substring_index(t, "(", -1))
+        return F.transform(F.filter(bodies, lambda t: t.rlike("[0-9]")), points)
+
+    areas = F.transform(F.filter(F.split(text, r"\)\s*\)"), lambda t: F.contains(t, F.lit("(")) & t.rlike(r"\(\s*[-+.0-9]")), lists)
+    every = lists(text)
+    return (
+        F.when(text.rlike(r"(?i)\bEMPTY\s*$"), F.slice(areas, 1, 0))
+        .when(kind.isin("POLYGON", "MULTIPOLYGON"), areas)
+        .when(kind == "MULTILINESTRING", F.transform(every, lambda line: F.array(line)))
+        .when(kind == "MULTIPOINT", F.transform(F.flatten(every), lambda p: F.array(F.array(p))))
+        .when(kind.isin("POINT", "LINESTRING"), F.array(every)))
+
+
+def oriented(ring: Column, outer) -> Column:
+    """The ring with its area on the left (outer rings) or on the right (holes), so that windings add up."""
+    return F.when((ring_signed_area(ring) > 0) == outer, ring).otherwise(F.reverse(ring))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def is_convex(ring: Column) -> Column:
+    """Does a simple ring turn to one side only?"""
+    def turns(c):  # c ends where it starts: the edge after the last one is the first
+        def turn(p, i):
+            q, r = F.get(c, i + 1), F.get(c, F.pmod(i + 1, F.size(c) - 1) + 1)
+            return (q["x"] - p["x"]) * (r["y"] - q["y"]) - (q["y"] - p["y"]) * (r["x"] - q["x"])
+
+        return F.transform(F.slice(c, F.lit(1), F.size(c) - 1), turn)
+
+    def one_side(t):
+        return ~(F.exists(t, lambda v: v > 0) & F.exists(t, lambda v: v < 0))
+
+    return _once(ring, lambda r: _once(closed(r), lambda c: _once(turns(c), one_side)))
+
+
 def clip_ring_to_box(ring: Column, xmin, ymin, xmax, ymax) -> Column:
     """Intersection of a ring with a box by four half-plane clips (exact for convex rings).
 

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.functions import geometry as g
-from cellscape.operators.components import label_blocks
+from cellscape.operators.components import TILE, connected_components
+from cellscape.operators.rings import rank_rings
+from cellscape.session import materialize
 
 # Corners on the integer lattice with steps (apothem, side/2), counter-clockwise from the bottom.
 CORNERS = [(0, -2), (1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1)]
@@ -41,49 +43,75 @@ def dissolved_area(cells: DataFrame, by: list[str], side: float) -> DataFrame:
         F.count("*").alias("n_cells"), (F.count("*") * g.hexagon_area(side)).alias("area_m2"))
 
 
-def dissolved_polygons(cells: DataFrame, by: list[str], side: float) -> DataFrame:
-    """One WKT polygon per connected piece of each 64 x 64 block of the grid.
+def boundary_chains(edges: DataFrame, by: list[str]) -> DataFrame:
+    """Add ``node``, ``chain`` and ``place``: the runs of ``edges`` that start in one block of 64 x 64 cells.
 
-    Pieces are connected inside their block, so a group is bounded by the block; together the
-    polygons of a group are its dissolved area.
+    A corner of the lattice touches three cells, so one edge of a group leaves it at most, and the next edge
+    follows from its end.  ``node`` is the id of the first corner of an edge, ``to`` of its second one.
+    """
+    def corner(x, y):
+        return F.shiftleft(F.col(y), 32) + F.col(x) + 1
+
+    blocks = edges.withColumns({
+        "node": corner("ux", "uy"), "to": corner("vx", "vy"),
+        "block_row": F.floor(F.col("uy") / (3 * TILE)), "block_col": F.floor(F.col("ux") / (2 * TILE))})
+
+    def follow(table: pa.Table) -> pa.Table:
+        node, to = table.column("node").to_pylist(), table.column("to").to_pylist()
+        at = {v: i for i, v in enumerate(node)}
+        inner = set(to)
+        chain, place = [None] * len(node), [0] * len(node)
+        # runs that come from another block first; what is left are whole rings, from their smallest corner
+        for first in [v for v in node if v not in inner] + sorted(node):
+            i, n = at[first], 0
+            while i is not None and chain[i] is None:
+                chain[i], place[i] = first, n
+                i, n = at.get(to[i]), n + 1
+        return table.append_column("chain", pa.array(chain, pa.int64())).append_column("place", pa.array(place, pa.int64()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema.fields)
+    return blocks.groupBy(*by, "block_row", "block_col").applyInArrow(follow, f"{fields}, chain long, place long").drop(
+        "block_row", "block_col")
+
+
+def boundary_rings(cells: DataFrame, by: list[str], side: float) -> DataFrame:
+    """Corners of the dissolved areas: ``(by, area, ring, place, total, x, y, twice)``.
+
+    ``cells`` is ``(by, row, col, cx, cy)``, one row per cell of a group.  ``area`` is the smallest cell of a connected
+    area, ``ring`` the lowest corner of one of its rings, ``place`` counts from there, with the area on the left,
+    ``total`` is the number of corners of the ring.  ``twice`` is what the edge from the corner adds to twice the
+    signed area of its ring, in lattice units (12 for a cell): an area has one ring with a positive sum, its outer
+    one; rings with a negative sum are holes.  No task holds an area or a ring: runs inside a block are followed
+    in one task, and the runs of a ring are ranked by pointer jumping.
     """
-    group = [*by, "block_row", "block_col", "piece"]
     b = g.apothem(side)
-    pieces = label_blocks(cells, by, "hexagon", "piece").withColumns({
-        "xmin": F.col("cx") - b * (2 * F.col("col") + F.col("row") % 2),
-        "ymin": F.col("cy") - side / 2 * (3 * F.col("row") + 2),
-    })
-    edges = boundary_edges(pieces, group, ("xmin", "ymin"))
-
-    def stitch(table: pa.Table) -> pa.Table:
-        col = {n: table.column(n).to_pylist() for n in ("ux", "uy", "vx", "vy")}
-        x0, y0 = table.column("xmin")[0].as_py(), table.column("ymin")[0].as_py()
-        follow = {(a, c): (d, e) for a, c, d, e in zip(col["ux"], col["uy"], col["vx"], col["vy"])}
-        rings = []
-        while follow:
-            start, at = next(iter(follow.items()))
-            del follow[start]
-            ring = [start]
-            while at != start:
-                ring.append(at)
-                at = follow.pop(at)
-            rings.append(ring)
-
-        def turn(ring):
-            return sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:] + ring[:1]))
-
-        rings.sort(key=turn, reverse=True)  # the outer ring turns left, holes turn right
-        texts = []
-        for ring in rings:
-            points = [f"{x0 + x * b:.3f} {y0 + y * side / 2:.3f}" for x, y in ring + ring[:1]]
-            texts.append("(" + ", ".join(points) + ")")
-        first = {n: [table.column(n)[0].as_py()] for n in group}
-        return pa.table({**first, "wkt": ["POLYGON(" + ", ".join(texts) + ")"]}, schema=_wkt_schema(table, group))
-
-    fields = {f.name: f.dataType.simpleString() for f in edges.schema.fields}
-    schema = ", ".join(f"`{n}` {fields[n]}" for n in group) + ", wkt string"
-    return edges.groupBy(*group).applyInArrow(stitch, schema)
-
-
-def _wkt_schema(table: pa.Table, group: list[str]) -> pa.Schema:
-    return pa.schema([table.schema.field(n) for n in group] + [pa.field("wkt", pa.string())])
+    labelled = connected_components(
+        cells.select(*by, "row", "col", (F.col("cx") - b * (2 * F.col("col") + F.pmod("row", F.lit(2)))).alias("xmin"),
+                     (F.col("cy") - side / 2 * (3 * F.col("row") + 2)).alias("ymin")), by, "hexagon", "area")
+    links = materialize(boundary_chains(boundary_edges(labelled, by, ("area", "xmin", "ymin")), by), "boundary-chains")
+    chains = materialize(
+        links.groupBy(*by, F.col("chain").alias("node")).agg(
+            F.max_by("to", "place").alias("follower"), F.count("*").alias("n"),
+            F.min("node").alias("low"), F.min_by("place", "node").alias("low_at")),
+        "boundary-nodes")
+    ranked = rank_rings(chains, by).withColumnRenamed("node", "chain")
+    return links.join(ranked, [*by, "chain"]).select(
+        *by, "area", "ring", F.pmod(F.col("before") + F.col("place") - F.col("shift"), F.col("total")).alias("place"), "total",
+        (F.col("xmin") + F.col("ux") * b).alias("x"), (F.col("ymin") + F.col("uy") * (side / 2)).alias("y"),
+        (F.col("ux") * F.col("vy") - F.col("vx") * F.col("uy")).alias("twice"))
+
+
+def dissolved_polygons(cells: DataFrame, by: list[str], side: float) -> DataFrame:
+    """One WKT polygon per connected area, ``(by, area, wkt)``: the outer ring, then the holes by lowest corner.
+
+    A WKT text is one value, so an area's outline is put together in one row here, and only here; where
+    outlines are longer than a value may be, store ``boundary_rings`` instead.
+    """
+    corner = F.format_string("%.3f %.3f", "x", "y")
+    rings = boundary_rings(cells, by, side).groupBy(*by, "area", "ring").agg(
+        F.sum("twice").alias("twice"), F.sort_array(F.collect_list(F.struct("place", corner.alias("at")))).alias("corners"))
+    texts = F.transform("corners", lambda c: c["at"])
+    ring_text = F.concat(F.lit("("), F.array_join(F.concat(texts, F.slice(texts, 1, 1)), ", "), F.lit(")"))
+    ordered = rings.select(*by, "area", F.struct((F.col("twice") < 0).alias("hole"), "ring", ring_text.alias("text")).alias("r"))
+    return ordered.groupBy(*by, "area").agg(F.sort_array(F.collect_list("r")).alias("rings")).select(
+        *by, "area", F.concat(F.lit("POLYGON("), F.array_join(F.transform("rings", lambda r: r["text"]), ", "), F.lit(")")).alias("wkt"))

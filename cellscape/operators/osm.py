@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellscape import config
 from cellscape.functions import geometry as g
+from cellscape.operators.overlay import clip_to_boxes
 from cellscape.operators.skew import join_counted
 
 
@@ -113,17 +114,30 @@ def stringify(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns})
 
 
-def water_in_box(water: DataFrame) -> DataFrame:
-    """Water rings cut to the box of their row; empty results are dropped.
+def water_in_box(water: DataFrame, parts: str = "drop") -> DataFrame:
+    """Water rings cut to the box of their row, one row per part; empty results are dropped.
 
-    ``water`` is ``(city, fid, ring, xmin, ymin, xmax, ymax)``.
+    ``water`` is ``(city, fid, ring, xmin, ymin, xmax, ymax)``; its other columns name the ring and are not null.
+    A ring that is not convex may fall into several parts: ``drop`` leaves such a ring out, as only single
+    polygons are kept by default, ``keep`` returns all parts.
     """
+    if parts not in ("drop", "keep"):
+        raise ValueError(f"parts is drop or keep, not {parts}")
     cut = g.clip_ring_to_box(F.col("ring"), F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
     kept = [c for c in water.columns if c not in ("ring", "xmin", "ymin", "xmax", "ymax")]
+    valid = water.where(g.is_valid_ring(F.col("ring")))
+    bent = valid.where(~g.is_convex(F.col("ring")))
     # the clip goes through a generator, which the filters below it cannot be pushed past: it runs once
-    return (
-        water.where(g.is_valid_ring(F.col("ring")))
+    single = (
+        valid.where(g.is_convex(F.col("ring")))
         .select(*kept, F.explode(F.array(cut)).alias("ring"))
         .where(g.is_valid_ring(F.col("ring")))
         .where(F.abs(g.ring_signed_area(F.col("ring"))) > 0)
     )
+    if bent.isEmpty():
+        return single
+    several = clip_to_boxes(bent, kept)
+    if parts == "drop":
+        once = several.groupBy(*kept).agg(F.count("*").alias("n")).where("n = 1").drop("n")
+        several = several.join(once, kept, "left_semi")
+    return single.unionByName(several.select(*kept, "ring"))

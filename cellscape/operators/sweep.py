@@ -16,18 +16,20 @@ from cellscape.functions import geometry as g
 def ring_segments(rings: DataFrame, by: list[str]) -> DataFrame:
     """One row per edge ``(by, x1, y1, x2, y2)``, directed counter-clockwise around the ring.
 
-    The array steps are separate columns, so that each is computed once per ring.
+    Rings whose column ``hole`` (if there is one) is true are directed clockwise, so that windings inside them
+    add up to 0.  The array steps are separate columns, so that each is computed once per ring.
     """
+    hole = F.coalesce(F.col("hole"), F.lit(False)) if "hole" in rings.columns else F.lit(False)
     edges = (
         rings.where(g.is_valid_ring(F.col("ring")))
-        .select(*by, g.closed(F.col("ring")).alias("ring"))
-        .select(*by, g.closed_ring_edges(F.col("ring")).alias("edges"))
-        .select(*by, (g.edges_signed_area(F.col("edges")) < 0).alias("clockwise"), "edges")
-        .select(*by, "clockwise", F.inline("edges"))
+        .select(*by, hole.alias("_hole"), g.closed(F.col("ring")).alias("ring"))
+        .select(*by, "_hole", g.closed_ring_edges(F.col("ring")).alias("edges"))
+        .select(*by, ((g.edges_signed_area(F.col("edges")) < 0) != F.col("_hole")).alias("turned"), "edges")
+        .select(*by, "turned", F.inline("edges"))
     )
 
     def end(normal: str, reverse: str):
-        return F.when(F.col("clockwise"), F.col(reverse)).otherwise(F.col(normal)).alias(normal)
+        return F.when(F.col("turned"), F.col(reverse)).otherwise(F.col(normal)).alias(normal)
 
     return edges.select(*by, end("x1", "x2"), end("y1", "y2"), end("x2", "x1"), end("y2", "y1"))
 

@@ -34,6 +34,25 @@ def wkt_layer(df: DataFrame, text: str = "wkt") -> DataFrame:
     return df.withColumn("coords", g.wkt_points(F.col(text)))
 
 
+def wkt_rings(df: DataFrame, text: str = "wkt") -> DataFrame:
+    """One row per ring or line of a WKT column: ``part`` and ``ring`` from 0, ``coords``.
+
+    Rings of polygons have their area on the left, holes on the right; a closing point is kept as it is.
+    Empty, missing and unreadable geometries give no row.
+    """
+    polygon = g.wkt_kind(F.col(text)).isin("POLYGON", "MULTIPOLYGON")
+    parts = df.select(*[c for c in df.columns if c != text], polygon.alias("_polygon"), F.posexplode(g.wkt_parts(F.col(text))).alias("part", "_rings"))
+    rings = parts.select("*", F.posexplode("_rings").alias("ring", "coords"))
+    turned = F.when(F.col("_polygon"), g.oriented(F.col("coords"), F.col("ring") == 0)).otherwise(F.col("coords"))
+    return rings.withColumn("coords", turned).drop("_polygon", "_rings")
+
+
+def wkt_file(spark: SparkSession, path: str, fields: str, encoding: str = "UTF-8") -> DataFrame:
+    """Rings of a delimited file with the columns ``fields`` and, last, a WKT text."""
+    rows = spark.read.schema(f"{fields}, wkt string").csv(path, sep="\t", encoding=encoding)
+    return wkt_rings(rows)
+
+
 def links_csv(spark: SparkSession, path: str) -> DataFrame:
     """Year to link list; ``line_no`` keeps the order of the file."""
     df = spark.read.schema("year int, link string").csv(path, header=True)
