@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.operators.components import connected_components
-from cellscape.operators.hexgrid import adjacency, cell_row
+from cellscape.operators.hexgrid import adjacency, cell_col, cell_id, cell_row, neighbour_offsets
 from cellscape.operators.nearest import nearest_hexagon
 from cellscape.operators.skew import join_city_table, join_counted, rank_within
 
@@ -78,14 +78,34 @@ def qualifying_members(members: DataFrame, clusters: DataFrame, hot_rows: int =
 URBAN_KEY = ["year_model", "built_threshold", "population_threshold", "cluster_threshold"]
 
 
+def perimeter(chosen: DataFrame) -> DataFrame:
+    """Members with at least one of their six neighbours outside the qualifying clusters.
+
+    Each member tells its neighbours, by direction, that it is there; one partial aggregate collects this, so
+    repeated members count once and no member is joined with another.
+    """
+    row, col = cell_row(F.col("cell_id")), cell_col(F.col("cell_id"))
+    itself = F.array(F.struct(row.alias("nrow"), col.alias("ncol")))
+    told = chosen.select("city", *URBAN_KEY, "cx", "cy", F.posexplode(F.concat(neighbour_offsets(row, col), itself)))
+    own, place = F.col("pos") == 6, F.col("col")
+    return (
+        told.where((place.nrow >= 0) & (place.ncol >= 0))
+        .groupBy("city", *URBAN_KEY, cell_id(place.nrow, place.ncol).alias("cell_id"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("pos"))).alias("bits"),
+             F.max(F.when(own, F.col("cx"))).alias("cx"), F.max(F.when(own, F.col("cy"))).alias("cy"))
+        .where("bits >= 64 AND bits < 127").drop("bits")
+    )
+
+
 def urban_distance(cells: DataFrame, chosen: DataFrame, side: float, tile: float) -> DataFrame:
     """Flag and distance in km to the nearest qualifying cluster; no rows where none qualifies.
 
-    ``chosen`` comes from ``qualifying_members``.  Only cells with a neighbour outside can be
-    nearest from outside, but inner cells are needed for the flag, so all members are targets.
+    ``chosen`` comes from ``qualifying_members``.  The way from outside to a member passes the edge of its
+    cluster, so only the perimeter is searched; members themselves are at distance 0.
     """
-    found = nearest_hexagon(cells, chosen, side, tile, URBAN_KEY)
-    return found.select(
+    found = nearest_hexagon(cells, perimeter(chosen), side, tile, URBAN_KEY)
+    inside = chosen.select("city", *URBAN_KEY, "cell_id", F.lit(0.0).alias("distance"))
+    return found.unionByName(inside).groupBy("city", "cell_id", *URBAN_KEY).agg(F.min("distance").alias("distance")).select(
         "city", "cell_id", *URBAN_KEY,
         F.when(F.col("distance") > 0, 0).otherwise(1).alias("urban_flag"),
         (F.col("distance") / 1000).alias("urban_distance_km"),

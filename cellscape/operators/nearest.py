@@ -5,6 +5,10 @@ tile, only the target tiles that can hold its nearest target: those no farther t
 target known to exist.  Only the surviving tile pairs are expanded to cells and targets, and the
 minimum is taken in the same tasks.  A target lies in one tile only; tile summaries carry the true
 box around their targets, so long lines need no copies.
+
+Tiles follow the targets: one with more than ``LEAF`` targets is cut into finer ones, and so are the
+cell tiles that still need it, until no pair holds a crowded tile.  A city whose targets lie in one
+tile is searched like any other.
 """
 
 from __future__ import annotations
@@ -16,18 +20,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscape.functions import geometry as g
+from cellscape.operators.skew import join_counted
 from cellscape.session import materialize
 
 FAN = 4  # a coarse tile is 4 x 4 finer ones
+LEAF = 1024  # a tile with more targets is cut
+DEEPEST = 6  # times a tile is cut; what still lies together then is dealt into parts by hash
 BOX = ["x0", "y0", "x1b", "y1b"]
-
-
-def _levels(cells: DataFrame, targets: DataFrame, tile: float) -> int:
-    """Number of coarsening steps after which any group spans at most a few tiles."""
-    span = F.greatest(F.max("hx") - F.min("lx"), F.max("hy") - F.min("ly"))
-    extent = targets.groupBy("city").agg(span.alias("s")).agg(F.max("s")).first()[0]
-    extent = extent or tile
-    return max(1, math.ceil(math.log(max(extent / tile, 1.0), FAN)))
+CELL_BOX = ["ax0", "ay0", "ax1", "ay1"]
+TILE_ID = ["tx", "ty", "part"]
 
 
 def _sample() -> list[Column]:
@@ -43,6 +44,58 @@ def _combine(tiles: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def _place(targets: DataFrame, tile: float) -> DataFrame:
+    return targets.withColumns({
+        "tx": F.floor((F.col("lx") + F.col("hx")) / 2 / tile), "ty": F.floor((F.col("ly") + F.col("hy")) / 2 / tile)})
+
+
+def _summary(placed: DataFrame, key: list[str]) -> DataFrame:
+    """One row per tile: the box around its targets, a point of one, and their number ``n``."""
+    return placed.groupBy(*key, *TILE_ID).agg(
+        F.min("lx").alias("x0"), F.min("ly").alias("y0"), F.max("hx").alias("x1b"), F.max("hy").alias("y1b"),
+        *_sample(), F.count("*").alias("n"),
+    )
+
+
+def _cell_tiles(cells: DataFrame, tile: float) -> DataFrame:
+    return (
+        cells.groupBy("city", F.floor(F.col("cx") / tile).alias("ax"), F.floor(F.col("cy") / tile).alias("ay"))
+        .agg(F.min("cx").alias("ax0"), F.min("cy").alias("ay0"), F.max("cx").alias("ax1"), F.max("cy").alias("ay1"))
+    )
+
+
+def _cut(placed: DataFrame, tiles: DataFrame, key: list[str], columns: list[str], tile: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Targets with the depth ``td`` and tile they end in, and the tiles of each depth.
+
+    Each round moves the targets of crowded tiles one depth down; the rounds end with the last crowded tile.
+    """
+    ends, ladder, rest = [], [tiles], placed
+    for depth in range(DEEPEST + 1):
+        sized = materialize(
+            join_counted(rest, tiles.select(*key, *TILE_ID, "n"), [*key, *TILE_ID], "n"), f"nearest-depth-{depth}")
+        ends.append(sized.where(F.col("n") <= LEAF).drop("n").withColumn("td", F.lit(depth)))
+        rest = sized.where(F.col("n") > LEAF)
+        if depth == DEEPEST:
+            # targets with one middle: any part may hold the nearest, and all are searched
+            ends.append(rest.drop("n").withColumn("td", F.lit(depth)))
+            break
+        crowded = rest.drop("n")
+        if crowded.isEmpty():
+            break
+        rest = _place(crowded, tile / FAN ** (depth + 1))
+        if depth + 1 == DEEPEST:
+            counts = rest.groupBy(*key, *TILE_ID).agg(F.count("*").alias("n"))
+            dealt = F.pmod(F.xxhash64(*columns), F.ceil(F.col("n") / LEAF))
+            rest = materialize(
+                join_counted(rest, counts, [*key, *TILE_ID], "n").withColumn("part", dealt).drop("n"), "nearest-parts")
+        tiles = materialize(_summary(rest, key), "nearest-tiles")
+        ladder.append(tiles)
+    out = ends[0]
+    for e in ends[1:]:
+        out = out.unionByName(e)
+    return out, ladder
+
+
 def nearest_distance(
     cells: DataFrame, targets: DataFrame, by: list[str], tile: float,
     distance: Callable[[Column, Column], Column], columns: list[str],
@@ -54,27 +107,20 @@ def nearest_distance(
     ``lx, ly, hx, hy`` and one point ``sx, sy`` of the target.  Groups without targets give no rows.
     """
     key = ["city", *by]
-    placed = targets.select(
-        *key, *columns, "lx", "ly", "hx", "hy", "sx", "sy",
-        F.floor((F.col("lx") + F.col("hx")) / 2 / tile).alias("tx"),
-        F.floor((F.col("ly") + F.col("hy")) / 2 / tile).alias("ty"),
-    ).dropDuplicates([*key, *columns])
+    placed = _place(targets.select(*key, *columns, "lx", "ly", "hx", "hy", "sx", "sy"), tile)
+    placed = placed.dropDuplicates([*key, *columns]).withColumn("part", F.lit(0).cast("long"))
     placed = materialize(placed, "nearest-targets")
-    levels = _levels(cells, placed, tile)
 
-    finest = placed.groupBy(*key, "tx", "ty").agg(
-        F.min("lx").alias("x0"), F.min("ly").alias("y0"), F.max("hx").alias("x1b"), F.max("hy").alias("y1b"),
-        *_sample(),
-    )
+    finest = materialize(_summary(placed, key), "nearest-tiles")
+    span = F.greatest(F.max("x1b") - F.min("x0"), F.max("y1b") - F.min("y0"))
+    extent, most = finest.groupBy("city").agg(span.alias("s"), F.max("n").alias("n")).agg(F.max("s"), F.max("n")).first()
+    levels = max(1, math.ceil(math.log(max((extent or tile) / tile, 1.0), FAN)))
     pyramid = [finest]
     for _ in range(levels):
         pyramid.append(_combine(pyramid[-1], key))
 
-    cell_tiles = (
-        cells.groupBy("city", F.floor(F.col("cx") / tile).alias("ax"), F.floor(F.col("cy") / tile).alias("ay"))
-        .agg(F.min("cx").alias("ax0"), F.min("cy").alias("ay0"), F.max("cx").alias("ax1"), F.max("cy").alias("ay1"))
-    )
     # the coarsest tiles of a city are copied to each band of its cell tiles, so a large city spreads
+    cell_tiles = _cell_tiles(cells, tile)
     band = F.floor(F.col("ay") / 16).alias("band")
     bands = cell_tiles.select("city", band).distinct()
     pairs = cell_tiles.withColumn("band", band).join(
@@ -83,35 +129,68 @@ def nearest_distance(
     pairs = _prune(pairs, key)
     for level in reversed(range(levels)):
         finer = pyramid[level].withColumns({"px": F.floor(F.col("tx") / FAN), "py": F.floor(F.col("ty") / FAN)})
-        parents = pairs.select(
-            *key, "ax", "ay", "ax0", "ay0", "ax1", "ay1", F.col("tx").alias("px"), F.col("ty").alias("py")
-        )
+        parents = pairs.select(*key, "ax", "ay", *CELL_BOX, F.col("tx").alias("px"), F.col("ty").alias("py"))
         pairs = _prune(parents.join(finer, [*key, "px", "py"]).drop("px", "py"), key)
+    pairs = pairs.withColumn("td", F.lit(0))
+
+    if (most or 0) > LEAF:
+        placed, ladder = _cut(placed, finest, key, columns, tile)
+        settled = _descend(pairs, ladder, cells, key, tile)
+    else:
+        placed, settled = placed.withColumn("td", F.lit(0)), [pairs]
+
+    out = None
+    for depth, kept in enumerate(settled):
+        size = tile / FAN**depth
+        candidates = kept.select(*key, "ax", "ay", "td", *TILE_ID).join(
+            placed.select(*key, "td", *TILE_ID, *columns), [*key, "td", *TILE_ID]
+        ).drop("td", *TILE_ID)
+        centres = cells.select(
+            "city", "cell_id", "cx", "cy", F.floor(F.col("cx") / size).alias("ax"), F.floor(F.col("cy") / size).alias("ay"))
+        part = (
+            candidates.join(centres, ["city", "ax", "ay"])
+            .groupBy("city", "ax", "ay", *by, "cell_id")
+            .agg(F.min(distance(F.col("cx"), F.col("cy"))).alias(name))
+            .drop("ax", "ay")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
-    candidates = pairs.select(*key, "ax", "ay", "tx", "ty").join(
-        placed.select(*key, "tx", "ty", *columns), [*key, "tx", "ty"]
-    ).drop("tx", "ty")
-    centres = cells.select(
-        "city", "cell_id", "cx", "cy", F.floor(F.col("cx") / tile).alias("ax"), F.floor(F.col("cy") / tile).alias("ay")
-    )
-    return (
-        candidates.join(centres, ["city", "ax", "ay"])
-        .groupBy("city", "ax", "ay", *by, "cell_id")
-        .agg(F.min(distance(F.col("cx"), F.col("cy"))).alias(name))
-        .drop("ax", "ay")
-    )
+
+def _descend(pairs: DataFrame, ladder: list[DataFrame], cells: DataFrame, key: list[str], tile: float) -> list[DataFrame]:
+    """Pairs without a crowded tile, one table for each depth of the cell tile.
+
+    A cell tile that still meets a crowded tile is cut together with it; its other target tiles stay with
+    the smaller cell tiles, so that a bound is always taken over all that is left for them.
+    """
+    settled = []
+    for depth, tiles in enumerate(ladder[1:]):
+        crowded = (F.col("td") == depth) & (F.col("n") > LEAF)
+        busy = F.max(crowded).over(Window.partitionBy(*key, "ax", "ay"))
+        pairs = materialize(pairs.withColumns({"crowded": crowded, "busy": busy}), f"nearest-pairs-{depth}")
+        settled.append(pairs.where(~F.col("busy")))
+        smaller = _cell_tiles(cells, tile / FAN ** (depth + 1)).withColumns(
+            {"px": F.floor(F.col("ax") / FAN), "py": F.floor(F.col("ay") / FAN)})
+        open_ = pairs.where("busy").drop(*CELL_BOX, "busy").withColumnsRenamed({"ax": "px", "ay": "py"})
+        met = open_.join(smaller, ["city", "px", "py"]).drop("px", "py")
+        cut = met.where("crowded").select(
+            *key, "ax", "ay", *CELL_BOX, F.col("tx").alias("px"), F.col("ty").alias("py"))
+        inner = tiles.withColumns({"px": F.floor(F.col("tx") / FAN), "py": F.floor(F.col("ty") / FAN)})
+        finer = cut.join(inner, [*key, "px", "py"]).drop("px", "py").withColumn("td", F.lit(depth + 1))
+        pairs = _prune(finer.unionByName(met.where(~F.col("crowded")).drop("crowded")), key)
+    return [*settled, pairs]
 
 
 def _prune(pairs: DataFrame, key: list[str]) -> DataFrame:
     """Drop target tiles farther from a cell tile than some target is sure to be."""
-    cell_box = [F.col(c) for c in ("ax0", "ay0", "ax1", "ay1")]
+    cell_box = [F.col(c) for c in CELL_BOX]
     bound = Window.partitionBy(*key, "ax", "ay")
     return (
         pairs.withColumn("near", g.box_gap(*cell_box, *[F.col(c) for c in BOX]))
         .withColumn("sure", g.box_reach(*cell_box, F.col("sx"), F.col("sy")))
         .withColumn("bound", F.min("sure").over(bound))
         .where(F.col("near") <= F.col("bound") + 1e-6)
-        .drop("near", "sure", "bound", "sx", "sy")
+        .drop("near", "sure", "bound")
     )
 
 
