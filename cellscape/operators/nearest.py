@@ -69,6 +69,7 @@ def _cut(placed: DataFrame, tiles: DataFrame, key: list[str], columns: list[str]
 
     Each round moves the targets of crowded tiles one depth down; the rounds end with the last crowded tile.
     """
+    tiles = materialize(tiles, "nearest-tiles")
     ends, ladder, rest = [], [tiles], placed
     for depth in range(DEEPEST + 1):
         sized = materialize(
@@ -111,7 +112,7 @@ def nearest_distance(
     placed = placed.dropDuplicates([*key, *columns]).withColumn("part", F.lit(0).cast("long"))
     placed = materialize(placed, "nearest-targets")
 
-    finest = materialize(_summary(placed, key), "nearest-tiles")
+    finest = _summary(placed, key)
     span = F.greatest(F.max("x1b") - F.min("x0"), F.max("y1b") - F.min("y0"))
     extent, most = finest.groupBy("city").agg(span.alias("s"), F.max("n").alias("n")).agg(F.max("s"), F.max("n")).first()
     levels = max(1, math.ceil(math.log(max((extent or tile) / tile, 1.0), FAN)))
