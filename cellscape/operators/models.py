@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cellscape.operators.bayes import GaussianNB
 from cellscape.operators.forest import Rules, grow
+from cellscape.session import materialize
 
 MAX_DEPTH = 30  # the library's limit for boosted trees; deeper requests are cut to it
 MAX_BINS = 255
@@ -125,16 +126,34 @@ class Stump:
     p_high: float
     weight: float = 1.0
 
-    def share(self, x: Column) -> Column:
-        return F.when(x[self.feature] <= self.threshold, self.p_low).otherwise(self.p_high)
+    def sides(self, kind: str) -> tuple[float, float]:
+        """What the stump adds at or below the threshold and above it."""
+        low, high = self.p_low, self.p_high
+        if kind == "log_odds":
+            return 0.5 * math.log(low / (1 - low)), 0.5 * math.log(high / (1 - high))
+        if kind == "vote":
+            return self.weight if low > 0.5 else -self.weight, self.weight if high > 0.5 else -self.weight
+        return self.weight * low, self.weight * high
 
-    def log_odds(self, x: Column) -> Column:
-        low, high = (0.5 * math.log(p / (1 - p)) for p in (self.p_low, self.p_high))
-        return F.when(x[self.feature] <= self.threshold, low).otherwise(high)
 
-    def vote(self, x: Column) -> Column:
-        low, high = (1.0 if p > 0.5 else -1.0 for p in (self.p_low, self.p_high))
-        return F.when(x[self.feature] <= self.threshold, low).otherwise(high)
+def fold(stumps: list[Stump], kind: str) -> Column:
+    """Sum of what the stumps add to a row with ``features``.
+
+    The stumps are one constant array that is folded, so the expression has the same depth for any number of
+    them; the row's values travel with the sum and are unpacked once.
+    """
+    if not stumps:
+        return F.lit(0.0)
+    table = F.array(*[
+        F.struct(F.lit(s.feature).alias("f"), F.lit(s.threshold).alias("t"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+        for s in stumps for low, high in [s.sides(kind)]])
+    start = F.struct(F.lit(0.0).alias("sum"), vector_to_array("features").alias("x"))
+
+    def step(state, s):
+        gain = F.when(F.get(state["x"], s["f"]) <= s["t"], s["low"]).otherwise(s["high"])
+        return F.struct((state["sum"] + gain).alias("sum"), state["x"].alias("x"))
+
+    return F.aggregate(table, start, step, lambda state: state["sum"])
 
 
 @dataclass
@@ -143,17 +162,12 @@ class BoostedStumps:
     real: bool = True
     n_features: int = 0
 
-    def margin(self, x: Column) -> Column:
-        parts = [s.log_odds(x) if self.real else s.vote(x) * s.weight for s in self.stumps]
-        return sum(parts, F.lit(0.0))
-
     def score(self, df: DataFrame) -> DataFrame:
-        x = vector_to_array("features")
         if self.real:
-            level = self.margin(x) / max(1, len(self.stumps))
+            level = fold(self.stumps, "log_odds") / max(1, len(self.stumps))
             return df.withColumn("score", 1 / (1 + F.exp(-2 * level)))
         total = sum(s.weight for s in self.stumps) or 1.0
-        share = sum((s.share(x) * s.weight for s in self.stumps), F.lit(0.0)) / total
+        share = fold(self.stumps, "share") / total
         return df.withColumn("score", F.exp(share) / (F.exp(share) + F.exp(1 - share)))
 
     def importances(self, columns: list[str]):
@@ -167,21 +181,29 @@ class BoostedStumps:
 _STUMP = re.compile(r"If \(feature (\d+) <= ([-+0-9.Ee]+)\)")
 
 
+STORE_EVERY = 25  # rounds after which the row weights are stored anew
+
+
 def _boosted_stumps(p: dict, train: DataFrame):
     """AdaBoost on depth-one trees.
 
-    Row weights are a closed expression of the stumps found so far, so no lineage builds up and each
-    round is one tree fit and one aggregate.
+    The logarithm of each row's weight is stored every ``STORE_EVERY`` rounds, and only the stumps found since
+    are folded into it, so neither lineage nor expressions grow with the rounds.
     """
     real = p.get("algorithm", "SAMME.R") == "SAMME.R"
     rate, rounds, tiny = float(p["learning_rate"]), int(p["n_estimators"]), 1e-9
     model = BoostedStumps(real=real)
     x, sign = vector_to_array("features"), 2 * F.col("label") - 1
+    kept, since = materialize(train.withColumn("log_weight", F.lit(0.0)), "boosting-weights"), []
     for _ in range(rounds):
-        exponent = sum(
-            ((-rate * sign * s.log_odds(x)) if real else F.when(s.vote(x) != sign, s.weight).otherwise(0.0)
-             for s in model.stumps), F.lit(0.0))
-        weighted = train.withColumn("w", F.exp(exponent))
+        if real:
+            grown = F.col("log_weight") - rate * sign * fold(since, "log_odds")
+        else:  # a wrong vote adds the stump's weight, a right one nothing
+            grown = F.col("log_weight") + (sum(s.weight for s in since) - sign * fold(since, "vote")) / 2
+        if len(since) == STORE_EVERY:
+            kept = materialize(kept.withColumn("log_weight", grown), "boosting-weights")
+            since, grown = [], F.col("log_weight")
+        weighted = kept.withColumn("w", F.exp(grown))
         tree = DecisionTreeClassifier(maxDepth=1, weightCol="w", maxBins=MAX_BINS).fit(weighted)
         found = _STUMP.search(tree.toDebugString)
         if not found:
@@ -207,6 +229,7 @@ def _boosted_stumps(p: dict, train: DataFrame):
                 break
             stump.weight = rate * math.log((1 - wrong) / max(wrong, tiny))
         model.stumps.append(stump)
+        since.append(stump)
         if wrong <= tiny:
             break
     return model
