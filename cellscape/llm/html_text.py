@@ -16,6 +16,7 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ from cellscape.llm.stage import small_batches
 #: At most so many hosts are split, so that their list is small.
 MOST_HOSTS = 10_000
 LEAST_SPLIT = 256
-#: Sibling lists are matched by dynamic programming up to so many pairs, beyond that in order (a diagonal).
+#: Sibling lists of up to so many pairs are matched in one table, longer ones by rows of it that are halved
+#: until a part is that small.  Both are exact.
 MOST_PAIRS = 2_500
 
 # Roles that HTML gives to elements.
@@ -178,17 +180,61 @@ def _pairs(a: list[Node], b: list[Node]) -> list[tuple[Node, Node]]:
     a, b = a[lo: len(a) - hi], b[lo: len(b) - hi]
     if not a or not b:
         return out
-    if len(a) * len(b) > MOST_PAIRS:
-        return out + [(x, y) for x, y in zip(a, b) if x.tag == y.tag]
-    gain = [[min(_size(x), _size(y)) if x.tag == y.tag else 0 for y in b] for x in a]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
+    sizes = [_size(x) for x in a], [_size(y) for y in b]
+    names = {tag: k for k, tag in enumerate({n.tag for n in (*a, *b)})}
+    tags = [np.array([names[n.tag] for n in nodes]) for nodes in (a, b)]
+    return out + [(a[i], b[j]) for i, j in _match(tags[0], np.array(sizes[0]), tags[1], np.array(sizes[1]))]
+
+
+def _gain_row(tag: int, size: int, tags: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What pairing one node with each of the others adds, 0 where the tags differ."""
+    return np.where(tags == tag, np.minimum(sizes, size), 0)
+
+
+def _best_row(tags_a: np.ndarray, sizes_a: np.ndarray, tags_b: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
+    """The largest gain of all of ``a`` with every tail of ``b``, by rows of the table."""
+    best = np.zeros(len(tags_b) + 1, dtype=np.int64)
+    for i in range(len(tags_a) - 1, -1, -1):
+        gain = _gain_row(tags_a[i], sizes_a[i], tags_b, sizes_b)
+        best[:-1] = np.maximum(best[:-1], np.where(gain > 0, gain + best[1:], 0))
+        best = np.maximum.accumulate(best[::-1])[::-1]
+    return best
+
+
+def _match(tags_a: np.ndarray, sizes_a: np.ndarray, tags_b: np.ndarray, sizes_b: np.ndarray) -> list[tuple[int, int]]:
+    """Places paired in order with the largest gain.  Space follows the longer list, not the number of pairs."""
+    out, todo = [], [(0, len(tags_a), 0, len(tags_b))]
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        if a0 == a1 or b0 == b1:
+            continue
+        if (a1 - a0) * (b1 - b0) <= MOST_PAIRS:
+            out += _match_table(a0, a1, b0, b1, tags_a, sizes_a, tags_b, sizes_b)
+        elif a1 - a0 == 1:
+            gain = _gain_row(tags_a[a0], sizes_a[a0], tags_b[b0:b1], sizes_b[b0:b1])
+            if gain.any():
+                out.append((a0, b0 + int(gain.argmax())))
+        else:
+            # the best way passes the middle row where what comes before and what comes after add up to most
+            middle = (a0 + a1) // 2
+            after = _best_row(tags_a[middle:a1], sizes_a[middle:a1], tags_b[b0:b1], sizes_b[b0:b1])
+            turned = [x[lo:hi][::-1] for x, lo, hi in ((tags_a, a0, middle), (sizes_a, a0, middle), (tags_b, b0, b1), (sizes_b, b0, b1))]
+            cut = b0 + int((_best_row(*turned)[::-1] + after).argmax())
+            todo += [(a0, middle, b0, cut), (middle, a1, cut, b1)]
+    return sorted(out)
+
+
+def _match_table(a0: int, a1: int, b0: int, b1: int, tags_a, sizes_a, tags_b, sizes_b) -> list[tuple[int, int]]:
+    gain = [_gain_row(tags_a[i], sizes_a[i], tags_b[b0:b1], sizes_b[b0:b1]).tolist() for i in range(a0, a1)]
+    n, m, out = a1 - a0, b1 - b0, []
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
             best[i][j] = max(best[i + 1][j], best[i][j + 1], gain[i][j] + best[i + 1][j + 1] if gain[i][j] else 0)
     i = j = 0
-    while i < len(a) and j < len(b):
+    while i < n and j < m:
         if gain[i][j] and best[i][j] == gain[i][j] + best[i + 1][j + 1]:
-            out.append((a[i], b[j]))
+            out.append((a0 + i, b0 + j))
             i, j = i + 1, j + 1
         elif best[i][j] == best[i + 1][j]:
             i += 1
