@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from cellscape.session import materialize
 
 PIVOTS = 32
-CHUNK = 4096
+CHUNK = 16_384  # rows of a block; every row is copied once for each block of the other side
+ROWS = 128  # queries compared at once
+PAIRS = 65_536  # differences held at once, where many rows are equally near
 
 
 def _to_pivots(df: DataFrame, pivots: np.ndarray, columns: str) -> DataFrame:
@@ -32,6 +34,31 @@ def _to_pivots(df: DataFrame, pivots: np.ndarray, columns: str) -> DataFrame:
     return df.mapInArrow(work, f"{columns}, to array<double>")
 
 
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Squared lengths of the rows."""
+    with np.errstate(over="ignore"):
+        return (x * x).sum(axis=1)
+
+
+def _within_reach(dots: np.ndarray, q2: np.ndarray, t2: np.ndarray, width: int, k: int, banned: np.ndarray | None):
+    """Places (query, row) that can be among the ``k`` nearest, from scalar products and squared lengths.
+
+    ``q2 + t2 - 2 dots`` misses the squared distance by rounding alone, no more than ``slack``, so all rows
+    within twice that of the k-th smallest are kept.
+    """
+    with np.errstate(invalid="ignore", over="ignore"):
+        d2 = q2[:, None] + t2[None, :] - 2 * dots
+        slack = 8 * (width + 4) * np.finfo(float).eps * (q2 + np.max(t2, initial=0.0, where=np.isfinite(t2)))
+        d2[~np.isfinite(d2)] = np.inf
+        if banned is not None:
+            d2[banned] = np.inf
+        limit = np.partition(d2, k - 1, axis=1)[:, k - 1] if d2.shape[1] > k else np.full(len(d2), np.inf)
+        near = d2 <= (limit + 2 * np.where(np.isfinite(slack), slack, np.inf))[:, None]
+    if banned is not None:
+        near &= ~banned
+    return np.nonzero(near)
+
+
 def nearest_neighbours(queries: DataFrame, training: DataFrame, k: int, leave_out_self: bool = False) -> DataFrame:
     """``(query_id, neighbours ARRAY<STRUCT<d2, id, label>>)``, nearest first, ties by id.
 
@@ -88,15 +115,18 @@ def nearest_neighbours(queries: DataFrame, training: DataFrame, k: int, leave_ou
         tid, label = tid[order], t.column("label").to_numpy()[order]
         qx = np.stack(q.column("x").to_numpy())
         out = []
-        for start in range(0, len(qid), 64):
-            part = slice(start, start + 64)
-            d2 = ((qx[part, None, :] - tx[None, :, :]) ** 2).sum(axis=2)
-            if leave_out_self:
-                d2[qid[part, None] == tid[None, :]] = np.inf
-            best = np.argsort(d2, axis=1, kind="stable")[:, :k]
-            value = np.take_along_axis(d2, best, axis=1)
-            row, col = np.nonzero(np.isfinite(value))
-            out.append((qid[part][row], value[row, col], tid[best[row, col]], label[best[row, col]]))
+        t2 = _lengths(tx)
+        for start in range(0, len(qid), ROWS):
+            own, x = qid[start: start + ROWS], qx[start: start + ROWS]
+            q2 = _lengths(x)
+            row, col = _within_reach(x @ tx.T, q2, t2, x.shape[1], k, own[:, None] == tid[None, :] if leave_out_self else None)
+            # distances by differences, as exact as they can be, of the rows that are left
+            value = np.concatenate([_lengths(x[row[i: i + PAIRS]] - tx[col[i: i + PAIRS]]) for i in range(0, max(len(row), 1), PAIRS)])
+            keep = np.flatnonzero(np.isfinite(value))
+            keep = keep[np.lexsort((col[keep], value[keep], row[keep]))]
+            first = np.searchsorted(row[keep], row[keep], side="left")
+            keep = keep[np.arange(len(keep)) - first < k]
+            out.append((own[row[keep]], value[keep], tid[col[keep]], label[col[keep]]))
         parts = [np.concatenate(p) for p in zip(*out)]
         return pa.table(dict(zip(["query_id", "d2", "id", "label"], parts))).cast(empty.schema)
 
