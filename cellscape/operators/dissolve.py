@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.functions import geometry as g
-from cellscape.operators.components import TILE, connected_components
+from cellscape.operators.components import TILE, connected_components, row_changes, whole_groups
 from cellscape.operators.rings import rank_rings
 from cellscape.session import materialize
 
@@ -18,24 +19,39 @@ CORNERS = [(0, -2), (1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1)]
 def boundary_edges(cells: DataFrame, by: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
     """Edges owned by one cell of the group only: ``(by, ux, uy, vx, vy)`` in lattice units.
 
-    The direction keeps the area on the left.  An edge is shared by two cells at most.  ``carry``
-    names further columns to keep.
+    The direction keeps the area on the left.  An edge is shared by two cells at most; repeated cells own none alone.
+    ``carry`` names further columns to keep.  Cells are shuffled once, to blocks of 64 x 64 cells, not their edges.
     """
-    x, y = 2 * F.col("col") + F.pmod("row", F.lit(2)), 3 * F.col("row") + 2
-    edges = []
-    for (ax, ay), (bx, by_) in zip(CORNERS, CORNERS[1:] + CORNERS[:1]):
-        edges.append(F.struct(
-            (x + ax).cast("long").alias("ux"), (y + ay).cast("long").alias("uy"),
-            (x + bx).cast("long").alias("vx"), (y + by_).cast("long").alias("vy")))
-    e = cells.select(*by, *carry, F.explode(F.array(*edges)).alias("e")).select(*by, *carry, "e.*")
-    ends = [F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("ux", "uy"), ("vx", "vy"))]
-    low, high = F.least(*ends), F.greatest(*ends)
-    return (
-        e.groupBy(*by, low.alias("low"), high.alias("high"))
-        .agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("ux", "uy", "vx", "vy", *carry)])
-        .where("n = 1")
-        .drop("low", "high", "n")
-    )
+    tile = lambda c, d: F.floor((F.col(c) + d) / TILE)
+    # a cell goes to its block and to those that its neighbours may lie in; its edges are found in its own
+    key = [*by, "block_row", "block_col"]
+    blocks = (
+        cells.select(*by, *carry, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"))
+        .withColumn("block_row", F.explode(F.sequence(tile("row", -1), tile("row", 1))))
+        .withColumn("block_col", F.explode(F.sequence(tile("col", -1), tile("col", 1)))))
+
+    def run(batches):
+        for table in whole_groups(batches, key):
+            block = np.cumsum(row_changes(table, key)) - 1
+            row, col, block_row, block_col = (table.column(c).to_numpy() for c in ("row", "col", "block_row", "block_col"))
+            # a block and its margin, two units of the lattice a column
+            x = 2 * col + np.mod(row, 2)
+            place = (block * (TILE + 4) + row - TILE * block_row + 2) * (2 * TILE + 8) + x - 2 * TILE * block_col + 4
+            known, number = np.unique(place, return_counts=True)
+            at = np.searchsorted(known, place)
+            alone = np.flatnonzero((number[at] == 1) & (row // TILE == block_row) & (col // TILE == block_col))
+            for (ax, ay), (bx, by_) in zip(CORNERS, CORNERS[1:] + CORNERS[:1]):
+                # beyond the side from one corner to the next: the neighbour's centre is their sum away
+                wanted = place[alone] + (ay + by_) // 3 * (2 * TILE + 8) + ax + bx
+                free = alone[known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] != wanted]
+                ends = [x[free] + ax, 3 * row[free] + 2 + ay, x[free] + bx, 3 * row[free] + 2 + by_]
+                own = table.select([*by, *carry]).take(pa.array(free))
+                yield from pa.table([*[own.column(c) for c in by], *[pa.array(e) for e in ends], *[own.column(c) for c in carry]],
+                                    names=[*by, "ux", "uy", "vx", "vy", *carry]).to_batches()
+
+    kind = {f.name: f.dataType.simpleString() for f in blocks.schema.fields}
+    fields = ", ".join([f"`{c}` {kind[c]}" for c in by] + [f"{c} long" for c in ("ux", "uy", "vx", "vy")] + [f"`{c}` {kind[c]}" for c in carry])
+    return blocks.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, fields)
 
 
 def dissolved_area(cells: DataFrame, by: list[str], side: float) -> DataFrame:
