@@ -86,6 +86,7 @@ def test_few_target_tiles_are_not_sorted(spark):
     points = [(c, k, rng.uniform(-500, 3500), rng.uniform(-500, 3000)) for c in (1, 2) for k in ("p", "q") for _ in range(15)]
     found = nearest.nearest_point(cells, spark.createDataFrame(points, "city long, kind string, x double, y double"), 1000.0, ["kind"])
     assert "Window" not in plan(found)
+    assert "MapInArrow" in plan(found)  # cells meet targets by block, in batches
     want = {(r["city"], k, r["cell_id"]): min(((r["cx"] - x) ** 2 + (r["cy"] - y) ** 2) ** 0.5 for c, q, x, y in points if (c, q) == (r["city"], k))
             for r in cells.collect() for k in ("p", "q")}
     got = {(r["city"], r["kind"], r["cell_id"]): r["distance"] for r in found.collect()}
