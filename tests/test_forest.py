@@ -87,6 +87,26 @@ def test_large_nodes_are_split_like_small_ones(table, rules):
     assert all(abs(v - 1) < 1e-9 for v in one.values())
 
 
+def test_few_values_of_large_nodes_are_sorted(spark, monkeypatch):
+    """Only bins that may hold the best cut are opened; the tree is that of every cut."""
+    sorted_rows = []
+
+    def counted(df, by, order, columns, name):
+        sorted_rows.append(df.count())
+        return running_sums(df, by, order, columns, name)
+
+    monkeypatch.setattr(forest, "running_sums", counted)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 3))
+    y = (x[:, 1] + 0.3 * rng.normal(size=4000) > 0.4).astype(int)
+    rows = spark.createDataFrame([(Vectors.dense(v), int(k)) for v, k in zip(x.tolist(), y)], ["features", "label"]).repartition(3)
+    for dense in (0, forest.DENSE):
+        monkeypatch.setattr(forest, "DENSE", dense)
+        large = grow(rows, Rules(max_depth=2, group_rows=50))
+        assert nodes_of(large, []) == nodes_of(grow(rows, Rules(max_depth=2)), [])
+    assert max(sorted_rows) < 0.1 * 3 * 4000
+
+
 def test_units_do_not_mix(table):
     """A unit's trees are those of its own rows alone."""
     rules = Rules(n_trees=2, max_features="sqrt", bootstrap=True, seed=1)
