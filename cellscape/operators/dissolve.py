@@ -72,24 +72,38 @@ def boundary_chains(edges: DataFrame, by: list[str]) -> DataFrame:
         "node": corner("ux", "uy"), "to": corner("vx", "vy"),
         "block_row": F.floor(F.col("uy") / (3 * TILE)), "block_col": F.floor(F.col("ux") / (2 * TILE))})
 
-    def follow(table: pa.Table) -> pa.Table:
-        node, to = table.column("node").to_pylist(), table.column("to").to_pylist()
-        at = {v: i for i, v in enumerate(node)}
-        inner = set(to)
-        chain, place = [None] * len(node), [0] * len(node)
-        # runs that come from another block first; what is left are whole rings, from their smallest corner
-        for first in [v for v in node if v not in inner] + sorted(node):
-            i, n = at[first], 0
-            while i is not None and chain[i] is None:
-                chain[i], place[i] = first, n
-                i, n = at.get(to[i]), n + 1
-        return table.append_column("chain", pa.array(chain, pa.int64())).append_column("place", pa.array(place, pa.int64()))
+    key = [*by, "block_row", "block_col"]
+
+    def run(batches):
+        # most blocks have few edges, so all that an Arrow batch completes are followed in one go
+        for table in whole_groups(batches, key):
+            starts = np.flatnonzero(row_changes(table, key)).tolist()
+            node, to = table.column("node").to_pylist(), table.column("to").to_pylist()
+            chain, place = [], []
+            for a, b in zip(starts, starts[1:] + [table.num_rows]):
+                for column, own in zip((chain, place), _follow(node[a:b], to[a:b])):
+                    column += own
+            yield from table.append_column("chain", pa.array(chain, pa.int64())).append_column("place", pa.array(place, pa.int64())).to_batches()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema.fields)
-    return blocks.groupBy(*by, "block_row", "block_col").applyInArrow(follow, f"{fields}, chain long, place long").drop(
+    return blocks.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, f"{fields}, chain long, place long").drop(
         "block_row", "block_col")
 
 
+def _follow(node: list[int], to: list[int]) -> tuple[list[int], list[int]]:
+    """Of each edge of a block: the first corner of its run, and the number of edges before it."""
+    at = {v: i for i, v in enumerate(node)}
+    inner = set(to)
+    chain, place = [None] * len(node), [0] * len(node)
+    # runs that come from another block first; what is left are whole rings, from their smallest corner
+    for first in [v for v in node if v not in inner] + sorted(v for v in node if v in inner):
+        i, n = at[first], 0
+        while i is not None and chain[i] is None:
+            chain[i], place[i] = first, n
+            i, n = at.get(to[i]), n + 1
+    return chain, place
+
+
 def boundary_rings(cells: DataFrame, by: list[str], side: float) -> DataFrame:
     """Corners of the dissolved areas: ``(by, area, ring, place, total, x, y, twice)``.
 
