@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 #: Words remembered by a worker, in two generations: when the newer is full, it replaces the older.
 #: It bounds space and changes no id.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 LONGEST = 64
 
 
