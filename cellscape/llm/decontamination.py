@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.llm import wordhash as wh
+from cellscape.llm.encoder import forget
 from cellscape.llm.stage import Stages, small_batches
 from cellscape.operators.skew import join_counted
 
@@ -88,6 +89,7 @@ def regions(items):
     """Words around shingles of items, for each document; and (shingle, n) document counts of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own: Items = items.value
         reach = max(own.length, default=0)
         counts = np.zeros(len(own.known), dtype=LONG)

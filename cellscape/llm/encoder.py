@@ -14,7 +14,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words remembered by a worker, in two generations: when the newer is full, it replaces the older.
-#: It bounds space and changes no id.
+#: It bounds space and changes no id.  Words at the start of a line have a memory of their own, a quarter of that size.
 REMEMBERED = 800_000
 LONGEST = 64
 
@@ -66,7 +66,7 @@ class _Memory(dict):
         else:
             ids = owner.direct(self.prefix + word)
         if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED // 2:
+            if len(self) >= REMEMBERED // (2 if self.prefix else 8):
                 self.older = dict(self)
                 self.clear()
             self[word] = ids
@@ -127,3 +127,8 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def forget() -> None:
+    """Free the worker's encoders; an operator calls this that needs none and finds those of one before it."""
+    _encoders.clear()

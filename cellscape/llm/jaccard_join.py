@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.llm import wordhash as wh
+from cellscape.llm.encoder import forget
 from cellscape.llm.stage import BROADCAST_ROWS, Stages, small_batches
 from cellscape.operators.components import contract
 
@@ -69,6 +70,7 @@ def signatures(size: int):
             ["doc_id", "n", "s1", "s2", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held: list[np.ndarray] = []
         seen: set[int] = set()
         total = 0

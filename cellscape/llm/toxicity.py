@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscape.llm import wordhash as wh
+from cellscape.llm.encoder import forget
 from cellscape.llm.stage import small_batches
 
 SAMPLE = 8000
@@ -48,6 +49,7 @@ def features(data: np.ndarray, bounds: np.ndarray, kept: np.ndarray | None = Non
 
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         out: list[bytes] = []
         for _, data, bounds in wh.chunks(batch.column("text")):
@@ -206,6 +208,7 @@ def without_rejected(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own: Model = shared.value
         for batch in batches:
             yield batch.filter(pa.array(own.severity(_scores(own, batch.column("text"))) < own.limit))
