@@ -1,6 +1,7 @@
 """Upper nodes are found in passes over the rows: no table of rows times trees is stored, few nodes are sent to the rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -64,3 +65,28 @@ def test_scores_of_many_nodes_are_those_of_few(table, monkeypatch, group_rows, b
 def test_weights_of_single_rows_are_those_of_the_general_way():
     u = np.concatenate([np.random.default_rng(1).random(20_000), [0.0, 1 - 2.0**-53]])
     assert (forest.poisson(u, np.ones(len(u))) == forest._poisson(u, np.ones(len(u)))).all()
+
+
+def test_rows_travel_packed_to_small_nodes(monkeypatch):
+    """What a task has of a node is one value, cut at a bound of bytes; it holds the drawn rows."""
+    rng = np.random.default_rng(5)
+    n, rules, by = 900, Rules(n_trees=4, bootstrap=True, seed=9), ["city"]
+    x, y, row = rng.normal(size=(n, 3)), rng.integers(0, 2, n), rng.integers(0, 10**15, n)
+    city = [None if i % 3 == 2 else i % 3 for i in range(n)]
+    table = pa.table({"city": pa.array(city, pa.int32()), "x": pa.array(x.tolist()), "label": pa.array(y.astype(np.int32)),
+                      "m": pa.array(np.ones(n, np.int64)), "row": pa.array(row)})
+    top = forest._Top({}, np.zeros((0, 4), dtype=np.int64))
+    weights = [forest._weights(rules, t, row, np.ones(n, np.int64)) for t in range(4)]
+    for most in (1 << 20, 40 * 50):
+        monkeypatch.setattr(forest, "PACKED_BYTES", most)
+        sent = pa.Table.from_batches(forest._send(rules, by, top)(iter(table.to_batches(max_chunksize=200))))
+        assert sent.num_rows == 12 if most > 10**5 else 12 < sent.num_rows < 100
+        got = {}
+        for r in sent.to_pylist():
+            labels = np.frombuffer(r["label"], np.int64)
+            values = np.frombuffer(r["x"]).reshape(3, len(labels)).T
+            got.setdefault((r["city"], r["tree"]), []).extend(zip(map(tuple, values.tolist()), labels.tolist(), np.frombuffer(r["w"], np.int64).tolist()))
+        for c in (0, 1, None):
+            for t in range(4):
+                want = [(tuple(x[i].tolist()), int(y[i]), int(weights[t][i])) for i in range(n) if city[i] == c and weights[t][i]]
+                assert sorted(got[c, t]) == sorted(want)
